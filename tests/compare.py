@@ -75,7 +75,7 @@ def main() -> int:
 
     sf_dir, chosen = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -1,8 +1,13 @@
-"""Cleaning and derivation of single values."""
+"""Cleaning and derivation of single values.
+
+Longer expressions are built as SQL text: that is one call to the JVM instead of
+one per operator, which matters when a plan has many columns.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -14,7 +19,12 @@ MONEY = "decimal(18,2)"
 EPOCH_SECONDS = "epoch_s"
 # timestamp_seconds() overflows outside these years under ANSI mode
 _EPOCH_LIMIT = 253_402_300_799
-_BLANKS = " \t\n\r\f\v"
+_TWO_SEPARATORS = re.compile(r"[-/. ]{2}")
+
+
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,50 +35,71 @@ def empty_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
-def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; NULL when none does."""
-    text = _col(c).cast("string")
-    attempts = []
-    for fmt in formats:
-        if fmt == EPOCH_SECONDS:
-            seconds = text.try_cast("bigint")
-            in_range = seconds.between(-_EPOCH_LIMIT, _EPOCH_LIMIT)
-            attempts.append(F.to_date(F.timestamp_seconds(F.when(in_range, seconds))))
-        else:
-            attempts.append(F.try_to_date(text, fmt))
-    return F.coalesce(*attempts)
+def _parse_pattern(text: str, fmt: str) -> str:
+    """SQL for a strict parse of one format, NULL on failure.
+
+    A failed ``try_to_date`` raises and catches an exception per row.  Formats made
+    of one year, month and day field are therefore matched by shape, reordered and
+    cast, which costs the same whether a row parses or not.
+    """
+    places = [fmt.find(f) + 1 for f in ("yyyy", "MM", "dd")]
+    if 0 in places or len(fmt) != 10 or not _TWO_SEPARATORS.fullmatch(re.sub("[yMd]", "", fmt)):
+        return f"try_to_date({text}, {sql_text(fmt)})"
+    shape = re.sub("[yMd]", "[0-9]", fmt.replace(".", "[.]"))
+    year, month, day = (f"substr({text}, {at}, {n})" for at, n in zip(places, (4, 2, 2)))
+    iso = text if fmt == "yyyy-MM-dd" else f"concat({year}, '-', {month}, '-', {day})"
+    return f"CASE WHEN {text} RLIKE '^{shape}$' THEN try_cast({iso} AS date) END"
+
+
+def _parse_epoch(text: str) -> str:
+    seconds = f"try_cast({text} AS bigint)"
+    in_range = f"{seconds} BETWEEN -{_EPOCH_LIMIT} AND {_EPOCH_LIMIT}"
+    return f"to_date(timestamp_seconds(CASE WHEN {in_range} THEN {seconds} END))"
+
 
+def parse_date(sql: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """First format that parses wins; NULL when none does.
 
-def date_needs_repair(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    ``sql`` is a column name or other SQL text of a string value.
+    """
+    attempts = [_parse_epoch(sql) if f == EPOCH_SECONDS else _parse_pattern(sql, f) for f in formats]
+    return F.expr(f"coalesce({', '.join(attempts)})")
+
+
+def date_needs_repair(sql: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """True where the text is present but not in the first (canonical) format."""
-    text = _col(c).cast("string")
-    return text.isNotNull() & F.try_to_date(text, formats[0]).isNull()
+    return F.expr(sql).isNotNull() & parse_date(sql, formats[:1]).isNull()
 
 
-def combine_timestamp(date: Column | str, time: Column | str) -> Column:
+def combine_timestamp(date: str, time: str) -> Column:
     """Parsed date + ``HH:MM:SS`` text -> zone-less timestamp, NULL if either is bad."""
-    time = _col(time)
-    stamp = F.concat(_col(date).cast("string"), F.lit(" "), time)
-    return F.when(time.rlike(r"^\d{2}:\d{2}:\d{2}$"), stamp.try_cast("timestamp_ntz"))
+    stamp = f"concat(cast({date} AS string), ' ', {time})"
+    shape = "^[0-9]{2}:[0-9]{2}:[0-9]{2}$"
+    return F.expr(f"CASE WHEN {time} RLIKE '{shape}' THEN try_cast({stamp} AS timestamp_ntz) END")
+
 
+def _code_key(sql: str) -> str:
+    return f"upper(btrim(cast({sql} AS string), ' \\t\\n\\r\\f\\v'))"
 
-def normalize_code(
-    c: Column | str, codes: Mapping[str, str], default: str | Column | None = None
-) -> Column:
+
+def normalize_code(sql: str, codes: Mapping[str, str], default: str | None = None) -> Column:
     """Trim, upper-case and look up; unknown (or NULL) input becomes ``default``.
 
     With ``default=None`` an unknown value is left as it came.  The lookup is a
     map literal, so keep ``codes`` to a small reference list.
     """
-    raw = _col(c).cast("string")
-    entries = [F.lit(part) for k, v in codes.items() for part in (k.strip().upper(), v)]
-    key = F.upper(F.btrim(raw, F.lit(_BLANKS)))
-    found = F.try_element_at(F.create_map(*entries), key) if entries else F.lit(None).cast("string")
-    if default is None:
-        fallback = raw
-    else:
-        fallback = default if isinstance(default, Column) else F.lit(default)
-    return F.coalesce(found, fallback)
+    pairs = ", ".join(
+        f"{sql_text(part)}" for k, v in codes.items() for part in (k.strip().upper(), v)
+    )
+    found = f"try_element_at(map({pairs}), {_code_key(sql)})" if pairs else "cast(NULL AS string)"
+    fallback = f"cast({sql} AS string)" if default is None else sql_text(default)
+    return F.expr(f"coalesce({found}, {fallback})")
+
+
+def code_is_unknown(sql: str, codes: Mapping[str, str]) -> Column:
+    """True where the lookup of :func:`normalize_code` finds nothing."""
+    accepted = ", ".join(sql_text(k.strip().upper()) for k in codes)
+    return F.expr(f"NOT coalesce({_code_key(sql)} IN ({accepted}), false)")
 
 
 def code_is_variant(c: Column | str, canonical: str) -> Column:
@@ -115,10 +146,12 @@ def row_hash(columns: Sequence[str], algorithm: str = "xxhash64") -> Column:
     ``sha256`` hashes the row's JSON text and can be reproduced outside Spark.
     """
     if algorithm == "xxhash64":
-        parts = [p for name in columns for p in (F.col(name), F.col(name).isNull())]
-        return F.xxhash64(*parts).cast("string")
+        parts = [part for n in columns for part in (f"`{n}`", f"isnull(`{n}`)")]
+        return F.expr(f"cast(xxhash64({', '.join(parts)}) AS string)")
     if algorithm == "sha256":
-        return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+        fields = ", ".join(f"`{n}`" for n in columns)
+        row = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
+        return F.expr(f"sha2({row}, 256)")
     raise ValueError(f"unknown hash algorithm: {algorithm}")
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwright.functions.literals import empty_frame, small_frame
+from tierwright.functions.values import sql_text
 
 VIOLATIONS_SCHEMA = "contract string, column_name string, rule string, violations bigint"
 
@@ -25,6 +26,11 @@ class ContractError(RuntimeError):
         super().__init__(f"{contract} is violated: {listed}")
 
 
+@cache
+def data_type(ddl: str) -> T.DataType:
+    return T.DataType.fromDDL(ddl)
+
+
 @dataclass(frozen=True)
 class ColumnRule:
     name: str
@@ -48,7 +54,7 @@ class Contract:
     @property
     def schema(self) -> T.StructType:
         return T.StructType(
-            [T.StructField(c.name, T.DataType.fromDDL(c.type), c.nullable) for c in self.columns]
+            [T.StructField(c.name, data_type(c.type), c.nullable) for c in self.columns]
         )
 
     def derive(self, name: str, changes: Mapping[str, Mapping] | None = None, **kwargs) -> Contract:
@@ -65,7 +71,7 @@ def structural_violations(schema: T.StructType, contract: Contract) -> list[tupl
     for rule in contract.columns:
         if rule.name not in actual:
             found.append((rule.name, "missing", 1))
-        elif actual[rule.name].simpleString() != T.DataType.fromDDL(rule.type).simpleString():
+        elif actual[rule.name] != data_type(rule.type):
             found.append((rule.name, "type", 1))
     if contract.strict:
         found += [(n, "unexpected", 1) for n in actual if n not in contract.names]
@@ -75,19 +81,25 @@ def structural_violations(schema: T.StructType, contract: Contract) -> list[tupl
     return found
 
 
-def value_counters(contract: Contract, present: Iterable[str]) -> dict[tuple[str, str], Column]:
-    """Aggregates counting NULLs in required columns and values outside a domain."""
+def _rule_tests(contract: Contract, present: Iterable[str]) -> dict[tuple[str, str], str]:
+    """SQL condition under which a row breaks each null or domain rule."""
     present = set(present)
-    counters: dict[tuple[str, str], Column] = {}
+    tests = {}
     for rule in contract.columns:
         if rule.name not in present:
             continue
-        column = F.col(rule.name)
         if not rule.nullable:
-            counters[(rule.name, "not_null")] = F.count_if(column.isNull())
+            tests[(rule.name, "not_null")] = f"`{rule.name}` IS NULL"
         if rule.domain:
-            counters[(rule.name, "domain")] = F.count_if(~column.isin(*rule.domain))
-    return counters
+            values = ", ".join(sql_text(v) for v in rule.domain)
+            tests[(rule.name, "domain")] = f"coalesce(`{rule.name}` NOT IN ({values}), false)"
+    return tests
+
+
+def breaching_rows(contract: Contract, present: Iterable[str]) -> Column:
+    """How many rows break a null or domain rule: one counter, cheap to keep."""
+    tests = _rule_tests(contract, present).values()
+    return F.expr(f"count_if({' OR '.join(tests) or 'false'})")
 
 
 def repeated_rows(df: DataFrame, column: str) -> DataFrame:
@@ -119,10 +131,10 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
             count.cast("bigint").alias("violations"),
         )
 
-    counters = value_counters(contract, df.columns)
-    if counters:
-        aliases = {key: f"m{i}" for i, key in enumerate(counters)}
-        totals = df.agg(*[c.alias(aliases[key]) for key, c in counters.items()])
+    tests = _rule_tests(contract, df.columns)
+    if tests:
+        aliases = {key: f"m{i}" for i, key in enumerate(tests)}
+        totals = df.agg(*[F.expr(f"count_if({t})").alias(aliases[k]) for k, t in tests.items()])
         lines = [labelled(*key, F.col(alias)) for key, alias in aliases.items()]
         parts.append(totals.select(F.explode(F.array(*lines)).alias("r")).select("r.*"))
     for rule in contract.columns:
@@ -144,3 +156,15 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     if rows:
         raise ContractError(contract.name, [(r.column_name, r.rule, r.violations) for r in rows])
     return df
+
+
+def enforce_unique(df: DataFrame, contract: Contract) -> DataFrame:
+    """Like :func:`enforce`, for the unique columns only: one job over those columns."""
+    keys = [rule.name for rule in contract.columns if rule.unique]
+    if keys:
+        extra = [f"count(`{k}`) - count(DISTINCT `{k}`) AS `{k}`" for k in keys]
+        if any(df.selectExpr(*extra).first()):
+            found = {k: repeated_rows(df, k).first()["n"] for k in keys}
+            broken = [(k, "unique", n) for k, n in found.items() if n]
+            raise ContractError(contract.name, broken)
+    return df

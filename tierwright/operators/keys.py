@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLES_PER_BUCKET = 20
+MIN_ROWS_PER_BUCKET = 10_000
 
 
-def _choose_bucket_count(df: DataFrame, rows: int, rows_per_bucket: int, max_buckets: int) -> int:
-    wanted = max(math.ceil(rows / rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
-    return max(1, min(wanted, max_buckets))
+def _choose_bucket_count(rows: int, cores: int, rows_per_bucket: int, max_buckets: int) -> int:
+    """Enough buckets for their size, and for all cores once there is work for them."""
+    for_cores = min(4 * cores, math.ceil(rows / MIN_ROWS_PER_BUCKET))
+    return max(1, min(max(math.ceil(rows / rows_per_bucket), for_cores), max_buckets))
 
 
 def _cut_points(df: DataFrame, key: str, buckets: int, rows: int) -> list:
@@ -76,25 +78,29 @@ def dense_keys(
     name: str,
     rows_per_bucket: int = 2_000_000,
     max_buckets: int = 16_384,
+    rows: int | None = None,
 ) -> DataFrame:
     """Prepend ``name``: 1..n in ``natural_key`` order.
 
     ``natural_key`` must be unique and of text or integer type.  Runs two light
     jobs over that column alone (cut points, rows per bucket), so call it on a
-    stored table; the driver sees at most ``max_buckets`` values.
+    stored table; the driver sees at most ``max_buckets`` values.  ``rows`` saves
+    counting when the number of rows is known.
     """
     key_type = df.schema[natural_key].dataType
     if not isinstance(key_type, (T.StringType, T.LongType, T.IntegerType, T.ShortType)):
         raise TypeError(f"dense_keys needs a text or integer key, not {key_type.simpleString()}")
 
-    rows = df.count()
-    buckets = _choose_bucket_count(df, rows, rows_per_bucket, max_buckets)
+    rows = df.count() if rows is None else rows
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = _choose_bucket_count(rows, cores, rows_per_bucket, max_buckets)
     cuts = _cut_points(df, natural_key, buckets, rows)
     bucket = bucket_of(F.col(natural_key), _literal_array(cuts, key_type), len(cuts))
 
-    sizes = dict(
-        df.select(bucket.alias("bucket")).groupBy("bucket").count().select("bucket", "count").collect()
-    )
+    sizes = {}
+    if cuts:
+        per_bucket = df.select(bucket.alias("bucket")).groupBy("bucket").count()
+        sizes = {r["bucket"]: r["count"] for r in per_bucket.collect()}
     offsets, below = [], 0
     for b in range(len(cuts) + 1):
         offsets.append(below)

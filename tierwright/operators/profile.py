@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwright.functions.literals import small_frame
-from tierwright.operators.contracts import Contract, repeated_rows
+from tierwright.operators.contracts import Contract, data_type, repeated_rows
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def domain_difference(df: DataFrame, column: str, expected: Sequence[str]) -> Da
 def schema_difference(schema: T.StructType, contract: Contract) -> list[tuple]:
     """(column, expected type, actual type, status) rows; metadata only."""
     actual = {f.name: f.dataType.simpleString() for f in schema}
-    expected = {c.name: T.DataType.fromDDL(c.type).simpleString() for c in contract.columns}
+    expected = {c.name: data_type(c.type).simpleString() for c in contract.columns}
     lines = []
     for name, want in expected.items():
         have = actual.get(name)

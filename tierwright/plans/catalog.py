@@ -364,12 +364,9 @@ def parse_dates(spark, sf_dir):
 @query
 def combine_ts(spark, sf_dir):
     rows = shapes.transactions(spark, sf_dir, dirty=True)
-    return rows.select(
-        "transaction_id",
-        "transaction_date",
-        V.combine_timestamp(V.parse_date("transaction_date"), "transaction_time").alias(
-            "transaction_timestamp"
-        ),
+    stamp = V.combine_timestamp("parsed", "transaction_time").alias("transaction_timestamp")
+    return rows.withColumn("parsed", V.parse_date("transaction_date")).select(
+        "transaction_id", "transaction_date", stamp
     )
 
 
@@ -925,8 +922,8 @@ def stream_sla(spark, sf_dir):
     schema = T.StructType(TRANSACTION_JSON.fields + [T.StructField("k", T.StringType())])
     raw = read_stream(spark, event_lines(spark, sf_dir), schema, files_per_batch=2)
     delay = F.make_dt_interval(secs=F.col("k").cast("decimal(18,6)") * 10)
-    event_time = V.combine_timestamp(V.parse_date("transaction_date"), "transaction_time")
-    rows = raw.select(
+    event_time = V.combine_timestamp("parsed", "transaction_time")
+    rows = raw.withColumn("parsed", V.parse_date("transaction_date")).select(
         "transaction_id",
         event_time.cast("timestamp").alias("transaction_timestamp"),
         (event_time.cast("timestamp") + delay).alias("updated_at"),

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwright.functions.literals import small_frame
@@ -17,10 +16,16 @@ from tierwright.operators.integrity import count_orphans
 from tierwright.operators.reconcile import require_conserved
 from tierwright.plans import contracts as C
 from tierwright.plans.checks import require_star_checks
-from tierwright.plans.star import dim_accounts, dim_customers, fact_transactions
+from tierwright.plans.star import (
+    dim_accounts,
+    dim_customers,
+    link_transactions,
+    numbered_transactions,
+)
 from tierwright.plans.typed import typed_accounts, typed_customers, typed_transactions
+from tierwright.session import run_together
 from tierwright.sinks.tables import LayerStore
-from tierwright.sources.files import read_csv_text, read_json_lines, require_rows
+from tierwright.sources.files import EmptySource, read_csv_text, read_json_lines
 
 # How each source names itself in the audit columns
 SOURCE_SYSTEMS = {
@@ -39,7 +44,7 @@ class Inputs:
 
 @dataclass
 class RunLog:
-    """Rows in and out of every written table, and seconds per stage."""
+    """Rows in and out of every written table, and seconds per step."""
 
     batch_id: str
     tables: list[tuple[str, str, int, int]] = field(default_factory=list)
@@ -49,6 +54,12 @@ class RunLog:
         schema = "layer string, table_name string, rows_in bigint, rows_out bigint"
         return small_frame(spark, self.tables, schema)
 
+    @contextmanager
+    def timed(self, step: str):
+        started = time.monotonic()
+        yield
+        self.seconds[step] = round(time.monotonic() - started, 3)
+
 
 def raw_customers(df: DataFrame, **audit) -> DataFrame:
     return with_audit(df, C.CUSTOMER_COLUMNS, SOURCE_SYSTEMS["customers"], **audit)
@@ -64,13 +75,6 @@ def raw_transactions(df: DataFrame, **audit) -> DataFrame:
     return with_audit(flat, C.TRANSACTION_COLUMNS, SOURCE_SYSTEMS["transactions"], **audit)
 
 
-def _together(*jobs):
-    """Run independent Spark jobs from separate driver threads; first error wins."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(inheritable_thread_target(job)) for job in jobs]
-        return [f.result() for f in futures]
-
-
 def run_layers(
     spark: SparkSession,
     inputs: Inputs,
@@ -87,72 +91,50 @@ def run_layers(
     log = RunLog(batch_id)
     audit = {"batch_id": batch_id, "ingested_at": ingested_at, "algorithm": hash_algorithm}
 
-    started = time.monotonic()
-
-    def stage_done(name: str) -> None:
-        nonlocal started
-        log.seconds[name] = round(time.monotonic() - started, 3)
-        started = time.monotonic()
-
-    # raw
-    customers = read_csv_text(spark, inputs.customers, C.CUSTOMER_COLUMNS)
-    accounts = read_csv_text(spark, inputs.accounts, C.ACCOUNT_COLUMNS)
-    transactions = require_rows(read_json_lines(spark, inputs.transactions), inputs.transactions)
-    raw = _together(
-        lambda: store.write(raw_customers(customers, **audit), "raw", "customers", C.RAW_CUSTOMERS),
-        lambda: store.write(raw_accounts(accounts, **audit), "raw", "accounts", C.RAW_ACCOUNTS),
-        lambda: store.write(
-            raw_transactions(transactions, **audit), "raw", "transactions", C.RAW_TRANSACTIONS
-        ),
-    )
-    names = ("customers", "accounts", "transactions")
-    log.tables += [("raw", n, w.rows, w.rows) for n, w in zip(names, raw)]
-    stage_done("raw")
-
-    # typed
-    plans = (
-        (typed_customers, C.TYPED_CUSTOMERS),
-        (typed_accounts, C.TYPED_ACCOUNTS),
-        (typed_transactions, C.TYPED_TRANSACTIONS),
-    )
-
-    def typed_job(name, plan, contract):
-        ready = plan(store.read("raw", name)).select(*contract.names)
-        return store.write(ready, "typed", name, contract)
-
-    typed = _together(
-        *[lambda n=n, p=p, c=c: typed_job(n, p, c) for n, (p, c) in zip(names, plans)]
-    )
-    log.tables += [("typed", n, r.rows, w.rows) for n, r, w in zip(names, raw, typed)]
-    stage_done("typed")
-
-    # star
-    _together(
-        lambda: store.write(
-            dim_customers(store.read("typed", "customers"), run_date),
-            "star",
-            "dim_customers",
-            C.DIM_CUSTOMERS,
-        ),
-        lambda: store.write(
-            dim_accounts(store.read("typed", "accounts")), "star", "dim_accounts", C.DIM_ACCOUNTS
-        ),
-    )
-    customer_dim = store.read("star", "dim_customers")
-    account_dim = store.read("star", "dim_accounts")
-    fact = fact_transactions(store.read("typed", "transactions"), account_dim, customer_dim)
-    written = store.write(fact, "star", "fact_transactions", C.FACT_TRANSACTIONS)
-    require_conserved("fact_transactions", typed[2].rows, loaded=written.rows)
-    log.tables += [
-        ("star", "dim_customers", typed[0].rows, typed[0].rows),
-        ("star", "dim_accounts", typed[1].rows, typed[1].rows),
-        ("star", "fact_transactions", typed[2].rows, written.rows),
-    ]
-    stage_done("star")
-
-    # checks
-    require_star_checks(store.read("star", "fact_transactions"), account_dim, customer_dim)
-    stage_done("checks")
+    def step(layer: str, table: str, df: DataFrame, contract: C.Contract, rows_in: int | None):
+        with log.timed(f"{layer}.{table}"):
+            written = store.write(df, layer, table, contract)
+        log.tables.append((layer, table, written.rows if rows_in is None else rows_in, written.rows))
+        return written.rows
+
+    def typed_step(table: str, plan, contract: C.Contract, rows_in: int) -> int:
+        ready = plan(store.read("raw", table)).select(*contract.names)
+        return step("typed", table, ready, contract, rows_in)
+
+    def customers_flow() -> None:
+        source = read_csv_text(spark, inputs.customers, C.CUSTOMER_COLUMNS)
+        n = step("raw", "customers", raw_customers(source, **audit), C.RAW_CUSTOMERS, None)
+        n = typed_step("customers", typed_customers, C.TYPED_CUSTOMERS, n)
+        dim = dim_customers(store.read("typed", "customers"), run_date, rows=n)
+        step("star", "dim_customers", dim, C.DIM_CUSTOMERS, n)
+
+    def accounts_flow() -> None:
+        source = read_csv_text(spark, inputs.accounts, C.ACCOUNT_COLUMNS)
+        n = step("raw", "accounts", raw_accounts(source, **audit), C.RAW_ACCOUNTS, None)
+        n = typed_step("accounts", typed_accounts, C.TYPED_ACCOUNTS, n)
+        dim = dim_accounts(store.read("typed", "accounts"), rows=n)
+        step("star", "dim_accounts", dim, C.DIM_ACCOUNTS, n)
+
+    def transactions_flow() -> tuple[int, DataFrame]:
+        lines = read_json_lines(spark, inputs.transactions)
+        n = step("raw", "transactions", raw_transactions(lines, **audit), C.RAW_TRANSACTIONS, None)
+        if n == 0:
+            raise EmptySource(f"source is empty: {inputs.transactions}")
+        n = typed_step("transactions", typed_transactions, C.TYPED_TRANSACTIONS, n)
+        return n, numbered_transactions(store.read("typed", "transactions"), rows=n)
+
+    # the sources do not depend on each other until the fact table joins them
+    with log.timed("sources_to_dimensions"):
+        rows, numbered = run_together(
+            spark, transactions_flow, accounts_flow, customers_flow
+        )[0]
+    accounts = store.read("star", "dim_accounts")
+    customers = store.read("star", "dim_customers")
+    fact = link_transactions(numbered, accounts, customers)
+    loaded = step("star", "fact_transactions", fact, C.FACT_TRANSACTIONS, rows)
+    require_conserved("fact_transactions", rows, loaded=loaded)
+    with log.timed("checks"):
+        require_star_checks(store.read("star", "fact_transactions"), accounts, customers)
     return log
 
 

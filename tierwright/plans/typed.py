@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierwright.functions import domains as D
 from tierwright.functions.values import (
+    code_is_unknown,
     combine_timestamp,
     empty_to_null,
     money,
@@ -42,7 +43,7 @@ def typed_accounts(
         {
             "mobile_number": empty_to_null("mobile_number"),
             "open_date": parse_date("open_date", formats),
-            "last_activity_date": parse_date(empty_to_null("last_activity_date"), formats),
+            "last_activity_date": parse_date("nullif(last_activity_date, '')", formats),
             "credit_limit": money(empty_to_null("credit_limit")),
             "current_balance": money("current_balance"),
         }
@@ -62,14 +63,13 @@ def typed_transactions(
     The timestamp is built from the parsed date, so every accepted date format
     has one.  A currency outside ``currency_codes`` is coerced and flagged.
     """
-    known = F.upper(F.btrim(F.col("currency"), F.lit(" \t\n\r\f\v")))
-    accepted = [k.strip().upper() for k in currency_codes]
-    unknown_currency = ~F.coalesce(known.isin(*accepted), F.lit(False))
     winners = keep_first(raw, ["transaction_id"], order)
     return (
         winners.withColumns(
             {
-                "dq_flag": F.when(unknown_currency, F.lit("CURRENCY_VARIANT")),
+                "dq_flag": F.when(
+                    code_is_unknown("currency", currency_codes), "CURRENCY_VARIANT"
+                ),
                 "transaction_date": parse_date("transaction_date", formats),
                 "amount": money("amount", strict=strict_amounts),
                 "currency": normalize_code("currency", currency_codes, currency),

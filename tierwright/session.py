@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Reasonable defaults for any cluster size.  Parallelism and memory are left to
@@ -54,3 +57,13 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is ever reused or cleared."""
     return os.path.join(shared_root(spark), "tierwright", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def run_together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent Spark actions from separate driver threads.
+
+    Results come in the order of ``jobs``; the first error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [f.result() for f in futures]

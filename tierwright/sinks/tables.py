@@ -9,7 +9,7 @@ Re-running a batch overwrites only its own folder, schema included.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from tierwright.operators.contracts import (
     Contract,
     ContractError,
-    repeated_rows,
+    breaching_rows,
+    enforce,
+    enforce_unique,
     structural_violations,
-    value_counters,
 )
 from tierwright.sources.files import scan_table
 from tierwright.sources.folders import mark, versions
@@ -77,12 +78,14 @@ class Written:
     rows: int
 
 
-@dataclass(frozen=True)
+@dataclass
 class LayerStore:
     spark: SparkSession
     root: str
     batch_id: str
     fmt: str = "parquet"
+    # schemas of tables written here, so that reading them back opens no file
+    schemas: dict[tuple[str, str], T.StructType] = field(default_factory=dict)
 
     def path(self, layer: str, table: str, batch_id: str | None = None) -> str:
         return f"{self.root}/{layer}/{table}/batch={batch_id or self.batch_id}"
@@ -94,7 +97,8 @@ class LayerStore:
         columns: Sequence[str] | None = None,
         batch_id: str | None = None,
     ) -> DataFrame:
-        return scan_table(self.spark, self.path(layer, table, batch_id), columns, self.fmt)
+        schema = self.schemas.get((layer, table)) if batch_id in (None, self.batch_id) else None
+        return scan_table(self.spark, self.path(layer, table, batch_id), columns, self.fmt, schema)
 
     def latest(self, layer: str, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """The newest published batch; batch ids sort by time."""
@@ -113,34 +117,28 @@ class LayerStore:
     ) -> Written:
         """Write, check, publish.
 
-        Row, null and domain counts are observed while the write runs, so the
-        plan is executed once; only unique columns are read back.
+        Rows, and rows breaking a null or domain rule, are counted while the write
+        runs, so the plan is executed once; only unique columns are read back.
+        Which rules were broken is looked up when there is something to report.
         """
         path = self.path(layer, table)
         if contract:
             broken = structural_violations(df.schema, contract)
             if broken:
                 raise ContractError(contract.name, broken)
-        counters = value_counters(contract, df.columns) if contract else {}
-        aliases = {key: f"m{i}" for i, key in enumerate(counters)}
         seen = Observation()
-        metrics = [c.alias(aliases[key]) for key, c in counters.items()]
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
-        write_table(observed, path, partition_by=partition_by, fmt=self.fmt)
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if contract:
+            metrics.append(breaching_rows(contract, df.columns).alias("breaches"))
+        write_table(df.observe(seen, *metrics), path, partition_by=partition_by, fmt=self.fmt)
+        if not partition_by:
+            # partition columns move to the end and are typed by their folder names
+            self.schemas[(layer, table)] = df.schema
         counts = seen.get
-        breaches = [
-            (column, rule, counts.get(alias) or 0)
-            for (column, rule), alias in aliases.items()
-            if counts.get(alias)
-        ]
         if contract:
             stored = self.read(layer, table)
-            for rule in contract.columns:
-                if rule.unique:
-                    repeated = repeated_rows(stored, rule.name).first()["n"]
-                    if repeated:
-                        breaches.append((rule.name, "unique", repeated))
-            if breaches:
-                raise ContractError(contract.name, breaches)
+            if counts.get("breaches"):
+                enforce(stored, contract)
+            enforce_unique(stored, contract)
         mark(self.spark, f"{path}/{PUBLISHED}")
         return Written(path, counts.get("rows") or 0)

@@ -97,13 +97,28 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A stored table, reading only ``columns``."""
-    table = spark.read.format(fmt).load(path)
+    """A stored table, reading only ``columns``; a known schema saves a look at the files."""
+    reader = spark.read.format(fmt)
+    table = (reader.schema(schema) if schema else reader).load(path)
     return table.select(*columns) if columns else table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input with fewer splits than cores.
+
+    A file with a single row group or a compressed text file is one split.  Large
+    inputs have many, and are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Add each absent column as a typed NULL; present columns are left alone."""
     absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwright.functions import domains as D
+from tierwright.sources.files import spread
 
 PROVINCE_ALIASES = {"KZN": "KwaZulu-Natal", "WC": "Western Cape", "GAUTENG": "Gauteng"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _text(c: Column) -> Column:
@@ -39,7 +40,7 @@ def _date_text(date: Column, dmy: Column, epoch: Column) -> Column:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
     key = F.col("c_custkey")
     born = F.expr("date_add(date'1940-01-01', cast(c_custkey * 17 % 25000 as int))")
     province = _pick(D.PROVINCES, F.col("c_nationkey") % 9)

@@ -36,11 +36,11 @@ def ledger_rows(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFr
     A value that cannot be parsed becomes NULL, which keeps the row out of the
     tables but not out of the quarantine.
     """
-    date = parse_date("transaction_date", formats)
-    return raw.select(
+    event_time = combine_timestamp("parsed_date", "transaction_time").cast("timestamp")
+    return raw.withColumn("parsed_date", parse_date("transaction_date", formats)).select(
         "account_id",
         "transaction_id",
-        combine_timestamp(date, "transaction_time").cast("timestamp").alias("transaction_timestamp"),
+        event_time.alias("transaction_timestamp"),
         money("amount", strict=False).alias("amount"),
         "transaction_type",
         "channel",
