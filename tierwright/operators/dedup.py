@@ -62,9 +62,8 @@ def duplicate_losers(
     content = F.struct(*order, *rest)
     folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
     key_names = [f"_key{i}" for i in range(len(keys))]
-    best = (
-        folded.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, key_names)])
-        .agg(F.min(content).alias("_best"))
+    best = keep_first(df, keys, [*order, *rest]).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, key_names)], content.alias("_best")
     )
     same_key = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key_names)]
     is_winner = content.eqNullSafe(F.col("_best")).cast("long")

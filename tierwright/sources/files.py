@@ -113,10 +113,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input with fewer splits than cores.
 
     A file with a single row group or a compressed text file is one split.  Large
-    inputs have many, and are returned as they are.
+    inputs have many, and are returned as they are; so whatever a hot value of the
+    first column holds here, it is less than a few splits.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
