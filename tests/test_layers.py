@@ -124,6 +124,19 @@ def test_rerun_gives_the_same_tables(spark, sources, folder):
     assert folders.versions(spark, f"{root}/star/fact_transactions", "batch") == [same["batch_id"]]
 
 
+def test_unique_columns_hold_when_rechecked(spark, sources, folder):
+    twice = [transaction(i % 5, f"a{i % 5}", transaction_time=f"10:00:0{i}") for i in range(9)]
+    log = layers.run_layers(spark, sources(twice), folder(), RUN, recheck_unique=True)
+    assert ("star", "fact_transactions", 5, 5) in log.tables
+
+
+def test_guaranteed_columns_are_not_proved_again(spark, folder):
+    twice = spark.range(4).selectExpr("id % 2 AS k", "'a' AS v")
+    with pytest.raises(ContractError):
+        LayerStore(spark, folder(), "b").write(twice, "typed", "t", SMALL)
+    assert LayerStore(spark, folder(), "b").write(twice, "typed", "t", SMALL, guaranteed=["k"]).rows == 4
+
+
 def test_orphans_stop_the_run(spark, sources, folder):
     root = folder()
     with pytest.raises(RowsLost):

@@ -158,9 +158,9 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     return df
 
 
-def enforce_unique(df: DataFrame, contract: Contract) -> DataFrame:
+def enforce_unique(df: DataFrame, contract: Contract, skip: Sequence[str] = ()) -> DataFrame:
     """Like :func:`enforce`, for the unique columns only: one job over those columns."""
-    keys = [rule.name for rule in contract.columns if rule.unique]
+    keys = [rule.name for rule in contract.columns if rule.unique and rule.name not in skip]
     if keys:
         extra = [f"count(`{k}`) - count(DISTINCT `{k}`) AS `{k}`" for k in keys]
         if any(df.selectExpr(*extra).first()):

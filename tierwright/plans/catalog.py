@@ -23,7 +23,7 @@ from tierwright.plans import checks, layers, star
 from tierwright.plans import contracts as C
 from tierwright.plans import quality as Q
 from tierwright.plans.typed import typed_accounts, typed_customers, typed_transactions
-from tierwright.session import pin_utc, work_path
+from tierwright.session import pin_utc, run_together, work_path
 from tierwright.sinks.tables import cast_to_schema, write_quarantine, write_report, write_table
 from tierwright.sources import shapes
 from tierwright.sources.files import (
@@ -98,16 +98,24 @@ def customers_typed(spark, sf_dir):
 
 
 def build_star(spark, sf_dir) -> dict[str, DataFrame]:
-    typed = {
-        "customers": stored(customers_typed(spark, sf_dir), "typed-customers"),
-        "accounts": stored(typed_accounts(raw_accounts(spark, sf_dir)), "typed-accounts"),
-        "transactions": stored(
-            typed_transactions(raw_transactions(spark, sf_dir)), "typed-transactions"
-        ),
-    }
-    customers = stored(star.dim_customers(typed["customers"], RUN_DATE), "dim-customers")
-    accounts = stored(star.dim_accounts(typed["accounts"]), "dim-accounts")
-    fact = star.fact_transactions(typed["transactions"], accounts, customers)
+    """Typed tables and dimensions are written, then the fact table is planned on them."""
+
+    def customer_dimension():
+        typed = stored(customers_typed(spark, sf_dir), "typed-customers")
+        return stored(star.dim_customers(typed, RUN_DATE), "dim-customers")
+
+    def account_dimension():
+        typed = stored(typed_accounts(raw_accounts(spark, sf_dir)), "typed-accounts")
+        return stored(star.dim_accounts(typed), "dim-accounts")
+
+    def transactions():
+        typed = typed_transactions(raw_transactions(spark, sf_dir))
+        return star.numbered_transactions(stored(typed, "typed-transactions"))
+
+    numbered, accounts, customers = run_together(
+        spark, transactions, account_dimension, customer_dimension
+    )
+    fact = star.link_transactions(numbered, accounts, customers)
     return {"customers": customers, "accounts": accounts, "fact": fact}
 
 

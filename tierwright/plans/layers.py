@@ -83,8 +83,15 @@ def run_layers(
     batch_id: str | None = None,
     ingested_at: dt.datetime | None = None,
     hash_algorithm: str = "xxhash64",
+    recheck_unique: bool = False,
 ) -> RunLog:
-    """Build and publish all tables of a batch under ``root``; stop at the first breach."""
+    """Build and publish all tables of a batch under ``root``; stop at the first breach.
+
+    Every unique column here is unique by construction: typed keys are what
+    deduplication groups by, surrogate keys are row numbers over them, and the fact
+    table joins each row to unique dimension keys.  ``recheck_unique`` proves it
+    again from the written tables, at the price of one more shuffle per column.
+    """
     batch_id = batch_id or new_batch_id()
     ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc)
     store = LayerStore(spark, root, batch_id)
@@ -93,7 +100,8 @@ def run_layers(
 
     def step(layer: str, table: str, df: DataFrame, contract: C.Contract, rows_in: int | None):
         with log.timed(f"{layer}.{table}"):
-            written = store.write(df, layer, table, contract)
+            unique = [] if recheck_unique else [c.name for c in contract.columns if c.unique]
+            written = store.write(df, layer, table, contract, guaranteed=unique)
         log.tables.append((layer, table, written.rows if rows_in is None else rows_in, written.rows))
         return written.rows
 
