@@ -143,6 +143,13 @@ issue_counts AS (
   UNION ALL SELECT 'DATE_FORMAT', count(*) FILTER (odd_date), 'correct' FROM marked
   UNION ALL SELECT 'CURRENCY_VARIANT', count(*) FILTER (odd_currency), 'correct' FROM marked)"""
 
+# As MARKED, against accounts that are irregular themselves
+_LINKED = """linked AS (SELECT account_id FROM accounts WHERE account_id IS NOT NULL
+  AND customer_ref IN (SELECT customer_id FROM customers))"""
+MARKED_TO_LINKED = f"{DIRTY_A}, {S.CUSTOMERS}, {_LINKED}, " + MARKED[len(A) + 2 :].replace(
+    "FROM accounts) AS is_orphan", "FROM linked) AS is_orphan"
+)
+
 TERMINAL = "CASE WHEN channel = 'ATM' THEN metadata_session_id END"
 STREAM = f"""{S.EVENTS}, known AS (
   SELECT e.* FROM stream_events e JOIN stream_accounts a USING (account_id))"""
@@ -623,6 +630,17 @@ SQL["dq_thresholds"] = with_(
        ELSE 'ok' END AS level
 FROM issue_counts, (SELECT count(*) AS n FROM marked)""",
 )
+SQL["dq_end_to_end"] = with_(
+    MARKED_TO_LINKED,
+    """SELECT 'accounts' AS source, 'NULL_REQUIRED' AS reason, count(*) AS row_count FROM accounts
+WHERE account_id IS NULL
+UNION ALL SELECT 'accounts', 'ORPHANED_ACCOUNT', count(*) FROM accounts
+WHERE account_id IS NOT NULL AND customer_ref NOT IN (SELECT customer_id FROM customers)
+UNION ALL SELECT 'transactions', reason, count(*) FROM survivors WHERE handling <> 'load' GROUP BY 2
+UNION ALL SELECT 'transactions', 'DUPLICATE_DEDUPED',
+  (SELECT count(*) FROM marked) - count(*) FROM survivors
+UNION ALL SELECT 'fact_transactions', 'LOADED', count(*) FROM survivors WHERE handling = 'load'""",
+)
 SQL["dq_reconcile"] = with_(
     MARKED,
     """SELECT 'fact_transactions' AS source, count(*) AS flagged_count FROM survivors

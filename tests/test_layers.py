@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 from decimal import Decimal
 from pathlib import Path
 
@@ -9,11 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwright.operators.contracts import ColumnRule, Contract, ContractError
-from tierwright.operators.quality import load_rules
+from tierwright.operators.drift import UnknownColumns
+from tierwright.operators.quality import QualityFailed, load_rules
 from tierwright.operators.reconcile import RowsLost
 from tierwright.plans import checks, layers
 from tierwright.plans import contracts as C
 from tierwright.plans import quality as Q
+from tierwright.plans.quality_run import run_with_rules
 from tierwright.functions.domains import PROVINCES, TRANSACTION_TYPES
 from tierwright.sinks.tables import LayerStore, cast_to_schema, write_quarantine, write_report, write_table
 from tierwright.sources import files, folders
@@ -306,3 +309,71 @@ def test_every_dirty_row_has_a_place(spark, folder):
     assert Path(path, "source=transactions", "reason=NULL_REQUIRED").is_dir()
     written = write_report(parts.report, folder())
     assert len(list(Path(written).glob("*.json"))) == 1
+
+
+def test_run_with_rules_places_every_row(spark, sources, folder):
+    def account(key, customer, opened="2021-06-14", balance="12.50"):
+        return [key, customer, "SAVINGS", "ACTIVE", opened, "BASIC", "", "APP", "", balance, ""]
+
+    accounts = [
+        *[account(f"a{i}", f"c{i}") for i in range(9)],
+        account("a0", "c0", balance="13.00"),  # same key again
+        account("", "c1"),  # no key
+        account("lost", "c99"),  # no such customer
+        account("odd", "c1", opened="14/06/2021"),
+        account("bad", "c1", opened="then"),
+        account("worse", "c1", balance="much"),
+    ]
+    rows = [
+        *[transaction(i, f"a{i}") for i in range(9)],
+        transaction(3, "a3", transaction_time="14:37:06"),
+        transaction(20, "a1", transaction_date="22/03/2025"),
+        transaction(21, "a1", amount="7.25"),
+        transaction(22, "a1", currency="USD"),
+        transaction(23, "lost"),
+        transaction(24, "bad"),
+        transaction(25, None),
+        transaction(26, "a1", amount="much"),
+        transaction(27, "a1", terminal="x1"),
+        transaction(28, "odd"),
+    ]
+    inputs = sources(rows, accounts)
+    with open(inputs.transactions, "a") as f:
+        f.write("{broken\n")
+    root = folder()
+    rules = replace(load_rules(), fail_threshold=0.9)
+    log = run_with_rules(spark, inputs, root, RUN, rules=rules)
+    assert ("star", "fact_transactions", 14, 14) in log.tables
+    store = LayerStore(spark, root, log.batch_id)
+    fact = {r.transaction_id: r.dq_flag for r in store.read("star", "fact_transactions").collect()}
+    assert {k: v for k, v in fact.items() if v} == {
+        "t03": "DUPLICATE_DEDUPED",
+        "t20": "DATE_FORMAT",
+        "t21": "TYPE_MISMATCH",
+        "t22": "CURRENCY_VARIANT",
+    }
+
+    def reasons(source):
+        aside = spark.read.parquet(store.path("quarantine", source))
+        return {r["reason"]: r["n"] for r in aside.groupBy("reason").agg(F.sum("copies").alias("n")).collect()}
+
+    assert reasons("transactions") == {
+        "DUPLICATE_DEDUPED": 1, "ORPHANED_ACCOUNT": 2, "NULL_REQUIRED": 1, "TYPE_MISMATCH": 1,
+        "MALFORMED_LINE": 1, "UNKNOWN_COLUMNS": 1,
+    }
+    assert reasons("accounts") == {
+        "DUPLICATE_DEDUPED": 1, "NULL_REQUIRED": 1, "ORPHANED_ACCOUNT": 1, "DATE_FORMAT": 1,
+        "TYPE_MISMATCH": 1,
+    }
+    report = spark.read.json(store.path("report", "dq")).collect()
+    found = {(r.source, r.issue_code): r.records_affected for r in report if r.records_affected}
+    assert found == {
+        ("accounts", "NULL_REQUIRED"): 1, ("accounts", "DATE_FORMAT"): 2,
+        ("transactions", "NULL_REQUIRED"): 1, ("transactions", "ORPHANED_ACCOUNT"): 2,
+        ("transactions", "DUPLICATE_DEDUPED"): 1, ("transactions", "TYPE_MISMATCH"): 2,
+        ("transactions", "DATE_FORMAT"): 1, ("transactions", "CURRENCY_VARIANT"): 1,
+    }
+    with pytest.raises(UnknownColumns, match="terminal"):
+        run_with_rules(spark, inputs, folder(), RUN, rules=rules, drift_policy="strict")
+    with pytest.raises(QualityFailed, match="TYPE_MISMATCH"):
+        run_with_rules(spark, inputs, folder(), RUN, rules=replace(rules, fail_threshold=0.1))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,16 @@ from tierwright.operators.keys import dense_keys
 from tierwright.plans import checks, layers, star
 from tierwright.plans import contracts as C
 from tierwright.plans import quality as Q
+from tierwright.plans.quality_run import run_with_rules
 from tierwright.plans.typed import typed_accounts, typed_customers, typed_transactions
 from tierwright.session import pin_utc, run_together, work_path
-from tierwright.sinks.tables import cast_to_schema, write_quarantine, write_report, write_table
+from tierwright.sinks.tables import (
+    LayerStore,
+    cast_to_schema,
+    write_quarantine,
+    write_report,
+    write_table,
+)
 from tierwright.sources import shapes
 from tierwright.sources.files import (
     TRANSACTION_JSON,
@@ -127,14 +135,14 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return once(spark, sf_dir, "star", build)
 
 
-def json_lines(spark, sf_dir, extra_key=False) -> str:
+def json_lines(spark, sf_dir, extra_key=False, dirty=False) -> str:
     def build():
-        rows = shapes.transactions(spark, sf_dir)
+        rows = shapes.transactions(spark, sf_dir, dirty)
         path = work_path(spark, "lines")
         shapes.transaction_lines(rows, extra_key).write.text(path)
         return path
 
-    return once(spark, sf_dir, f"lines-{extra_key}", build)
+    return once(spark, sf_dir, f"lines-{extra_key}-{dirty}", build)
 
 
 def marked_transactions(spark, sf_dir) -> DataFrame:
@@ -640,16 +648,16 @@ def _run_identity() -> dict:
     return {"batch_id": BATCH_ID, "ingested_at": INGESTED_AT}
 
 
-def write_inputs(spark: SparkSession, sf_dir: str) -> layers.Inputs:
-    """Source files of the clean shapes, with canonical province names."""
+def write_inputs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> layers.Inputs:
+    """Source files of the shapes, with canonical province names."""
     customers = work_path(spark, "in-customers")
     accounts = work_path(spark, "in-accounts")
     canonical = V.normalize_code("province", shapes.PROVINCE_ALIASES)
     shapes.customers(spark, sf_dir).withColumn("province", canonical).write.option(
         "header", True
     ).csv(customers)
-    shapes.accounts(spark, sf_dir).write.option("header", True).csv(accounts)
-    return layers.Inputs(customers, accounts, json_lines(spark, sf_dir))
+    shapes.accounts(spark, sf_dir, dirty).write.option("header", True).csv(accounts)
+    return layers.Inputs(customers, accounts, json_lines(spark, sf_dir, dirty=dirty))
 
 
 # contracts and drift --------------------------------------------------------
@@ -827,6 +835,36 @@ def dq_thresholds(spark, sf_dir):
     return quality.grade(report, rules).select("issue_code", "records_affected", "level")
 
 
+@query
+def dq_end_to_end(spark, sf_dir):
+    """Irregular source files in; where their rows ended up, per reason."""
+    rules = replace(quality.load_rules(), fail_threshold=1.0)
+    root = work_path(spark, "rules")
+    run_with_rules(
+        spark,
+        write_inputs(spark, sf_dir, dirty=True),
+        root,
+        RUN_DATE,
+        rules=rules,
+        hash_algorithm="sha256",
+        **_run_identity(),
+    )
+    store = LayerStore(spark, root, BATCH_ID)
+
+    def aside(source):
+        rows = scan_table(spark, store.path("quarantine", source), ["reason", "copies"])
+        return rows.groupBy("reason").agg(
+            F.lit(source).alias("source"), F.sum("copies").alias("row_count")
+        )
+
+    loaded = store.read("star", "fact_transactions").agg(
+        F.lit("LOADED").alias("reason"),
+        F.lit("fact_transactions").alias("source"),
+        F.count(F.lit(1)).alias("row_count"),
+    )
+    return aside("accounts").unionByName(aside("transactions")).unionByName(loaded)
+
+
 @query
 def dq_reconcile(spark, sf_dir):
     marked = marked_transactions(spark, sf_dir)

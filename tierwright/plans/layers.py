@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierwright.functions.literals import small_frame
 from tierwright.operators.audit import new_batch_id, with_audit
+from tierwright.operators.contracts import Contract
 from tierwright.operators.flatten import flatten_structs
 from tierwright.operators.integrity import count_orphans
 from tierwright.operators.reconcile import require_conserved
@@ -75,75 +76,118 @@ def raw_transactions(df: DataFrame, **audit) -> DataFrame:
     return with_audit(flat, C.TRANSACTION_COLUMNS, SOURCE_SYSTEMS["transactions"], **audit)
 
 
-def run_layers(
-    spark: SparkSession,
-    inputs: Inputs,
-    root: str,
-    run_date: dt.date | str | None = None,
-    batch_id: str | None = None,
-    ingested_at: dt.datetime | None = None,
-    hash_algorithm: str = "xxhash64",
-    recheck_unique: bool = False,
-) -> RunLog:
+@dataclass
+class Run:
+    """One batch being built: where it goes, and what every step shares."""
+
+    spark: SparkSession
+    inputs: Inputs
+    store: LayerStore
+    log: RunLog
+    audit: dict
+    run_date: dt.date | str | None = None
+    recheck_unique: bool = False
+
+    @classmethod
+    def begin(
+        cls,
+        spark: SparkSession,
+        inputs: Inputs,
+        root: str,
+        run_date: dt.date | str | None = None,
+        batch_id: str | None = None,
+        ingested_at: dt.datetime | None = None,
+        hash_algorithm: str = "xxhash64",
+        recheck_unique: bool = False,
+    ) -> Run:
+        batch_id = batch_id or new_batch_id()
+        audit = {
+            "batch_id": batch_id,
+            "ingested_at": ingested_at or dt.datetime.now(dt.timezone.utc),
+            "algorithm": hash_algorithm,
+        }
+        store = LayerStore(spark, root, batch_id)
+        return cls(spark, inputs, store, RunLog(batch_id), audit, run_date, recheck_unique)
+
+    def step(
+        self, layer: str, table: str, df: DataFrame, contract: Contract, rows_in: int | None = None
+    ) -> int:
+        """Write a table; the number of rows it got."""
+        with self.log.timed(f"{layer}.{table}"):
+            unique = [] if self.recheck_unique else [c.name for c in contract.columns if c.unique]
+            rows = self.store.write(df, layer, table, contract, guaranteed=unique).rows
+        self.log.tables.append((layer, table, rows if rows_in is None else rows_in, rows))
+        return rows
+
+    def raw_customers(self, contract: Contract = C.RAW_CUSTOMERS) -> int:
+        source = read_csv_text(self.spark, self.inputs.customers, C.CUSTOMER_COLUMNS)
+        return self.step("raw", "customers", raw_customers(source, **self.audit), contract)
+
+    def raw_accounts(self, contract: Contract = C.RAW_ACCOUNTS) -> int:
+        source = read_csv_text(self.spark, self.inputs.accounts, C.ACCOUNT_COLUMNS)
+        return self.step("raw", "accounts", raw_accounts(source, **self.audit), contract)
+
+    def typed(self, table: str, df: DataFrame, contract: Contract, rows_in: int) -> int:
+        return self.step("typed", table, df.select(*contract.names), contract, rows_in)
+
+    def customer_dimension(self, rows: int) -> int:
+        dim = dim_customers(self.store.read("typed", "customers"), self.run_date, rows=rows)
+        return self.step("star", "dim_customers", dim, C.DIM_CUSTOMERS, rows)
+
+    def account_dimension(self, rows: int) -> int:
+        dim = dim_accounts(self.store.read("typed", "accounts"), rows=rows)
+        return self.step("star", "dim_accounts", dim, C.DIM_ACCOUNTS, rows)
+
+    def customers_flow(self) -> int:
+        n = self.raw_customers()
+        typed = typed_customers(self.store.read("raw", "customers"))
+        n = self.typed("customers", typed, C.TYPED_CUSTOMERS, n)
+        return self.customer_dimension(n)
+
+    def finish(self, numbered: DataFrame, rows: int) -> RunLog:
+        """Link the fact table to the dimensions, publish it, check the star."""
+        accounts = self.store.read("star", "dim_accounts")
+        customers = self.store.read("star", "dim_customers")
+        fact = link_transactions(numbered, accounts, customers)
+        loaded = self.step("star", "fact_transactions", fact, C.FACT_TRANSACTIONS, rows)
+        require_conserved("fact_transactions", rows, loaded=loaded)
+        with self.log.timed("checks"):
+            fact = self.store.read("star", "fact_transactions")
+            require_star_checks(fact, accounts, customers)
+        return self.log
+
+
+def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options) -> RunLog:
     """Build and publish all tables of a batch under ``root``; stop at the first breach.
 
-    Every unique column here is unique by construction: typed keys are what
-    deduplication groups by, surrogate keys are row numbers over them, and the fact
-    table joins each row to unique dimension keys.  ``recheck_unique`` proves it
-    again from the written tables, at the price of one more shuffle per column.
+    Further arguments are those of :meth:`Run.begin`.  Every unique column here is
+    unique by construction: typed keys are what deduplication groups by, surrogate
+    keys are row numbers over them, and the fact table joins each row to unique
+    dimension keys.  ``recheck_unique`` proves it again from the written tables, at
+    the price of one more shuffle per column.
     """
-    batch_id = batch_id or new_batch_id()
-    ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc)
-    store = LayerStore(spark, root, batch_id)
-    log = RunLog(batch_id)
-    audit = {"batch_id": batch_id, "ingested_at": ingested_at, "algorithm": hash_algorithm}
-
-    def step(layer: str, table: str, df: DataFrame, contract: C.Contract, rows_in: int | None):
-        with log.timed(f"{layer}.{table}"):
-            unique = [] if recheck_unique else [c.name for c in contract.columns if c.unique]
-            written = store.write(df, layer, table, contract, guaranteed=unique)
-        log.tables.append((layer, table, written.rows if rows_in is None else rows_in, written.rows))
-        return written.rows
-
-    def typed_step(table: str, plan, contract: C.Contract, rows_in: int) -> int:
-        ready = plan(store.read("raw", table)).select(*contract.names)
-        return step("typed", table, ready, contract, rows_in)
-
-    def customers_flow() -> None:
-        source = read_csv_text(spark, inputs.customers, C.CUSTOMER_COLUMNS)
-        n = step("raw", "customers", raw_customers(source, **audit), C.RAW_CUSTOMERS, None)
-        n = typed_step("customers", typed_customers, C.TYPED_CUSTOMERS, n)
-        dim = dim_customers(store.read("typed", "customers"), run_date, rows=n)
-        step("star", "dim_customers", dim, C.DIM_CUSTOMERS, n)
-
-    def accounts_flow() -> None:
-        source = read_csv_text(spark, inputs.accounts, C.ACCOUNT_COLUMNS)
-        n = step("raw", "accounts", raw_accounts(source, **audit), C.RAW_ACCOUNTS, None)
-        n = typed_step("accounts", typed_accounts, C.TYPED_ACCOUNTS, n)
-        dim = dim_accounts(store.read("typed", "accounts"), rows=n)
-        step("star", "dim_accounts", dim, C.DIM_ACCOUNTS, n)
+    run = Run.begin(spark, inputs, root, *args, **options)
+
+    def accounts_flow() -> int:
+        n = run.raw_accounts()
+        typed = typed_accounts(run.store.read("raw", "accounts"))
+        return run.account_dimension(run.typed("accounts", typed, C.TYPED_ACCOUNTS, n))
 
     def transactions_flow() -> tuple[int, DataFrame]:
         lines = read_json_lines(spark, inputs.transactions)
-        n = step("raw", "transactions", raw_transactions(lines, **audit), C.RAW_TRANSACTIONS, None)
+        raw = raw_transactions(lines, **run.audit)
+        n = run.step("raw", "transactions", raw, C.RAW_TRANSACTIONS)
         if n == 0:
             raise EmptySource(f"source is empty: {inputs.transactions}")
-        n = typed_step("transactions", typed_transactions, C.TYPED_TRANSACTIONS, n)
-        return n, numbered_transactions(store.read("typed", "transactions"), rows=n)
+        typed = typed_transactions(run.store.read("raw", "transactions"))
+        n = run.typed("transactions", typed, C.TYPED_TRANSACTIONS, n)
+        return n, numbered_transactions(run.store.read("typed", "transactions"), rows=n)
 
     # the sources do not depend on each other until the fact table joins them
-    with log.timed("sources_to_dimensions"):
-        rows, numbered = run_together(
-            spark, transactions_flow, accounts_flow, customers_flow
-        )[0]
-    accounts = store.read("star", "dim_accounts")
-    customers = store.read("star", "dim_customers")
-    fact = link_transactions(numbered, accounts, customers)
-    loaded = step("star", "fact_transactions", fact, C.FACT_TRANSACTIONS, rows)
-    require_conserved("fact_transactions", rows, loaded=loaded)
-    with log.timed("checks"):
-        require_star_checks(store.read("star", "fact_transactions"), accounts, customers)
-    return log
+    with run.log.timed("sources_to_dimensions"):
+        done = run_together(spark, transactions_flow, accounts_flow, run.customers_flow)
+    rows, numbered = done[0]
+    return run.finish(numbered, rows)
 
 
 def integrity_report(store: LayerStore) -> DataFrame:
