@@ -45,8 +45,8 @@ def test_mix_meets_budgets(spark, n):
         if not over:
             break
         capped |= over
-    for source, part in got.groupby(got["source"].fillna("\0")):
-        s = None if source == "\0" else source
+    for source, part in got.groupby(got["source"].fillna("none")):
+        s = None if source == "none" else source
         assert part["target"].iloc[0] == pytest.approx(target[s])
         assert part["source_size"].iloc[0] == size[s]
         assert abs(part["taken"].sum() - target[s]) < 1

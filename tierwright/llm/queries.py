@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import op2_cross_parse
 from .mixing import OP10_SQL, op10_source_mix
 from .packing import op6_pack
+from .quality import op3_compression_bands
+from .secret_scan import op4_ownership
 from .sharding import op5_byte_shards
+from .toxicity import op9_lexicon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_cross_parse": op2_cross_parse,
+    "op3_compression_bands": op3_compression_bands,
+    "op4_ownership": op4_ownership,
     "op5_byte_shards": op5_byte_shards,
     "op6_pack": op6_pack,
+    "op9_lexicon": op9_lexicon,
     "op10_source_mix": op10_source_mix,
 }
 
