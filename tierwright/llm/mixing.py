@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_PATTERN, free_name, read_table, running_totals, store
+from .common import WORD, WORD_PATTERN, free_name, read_table, running_totals, store
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -120,16 +122,23 @@ def materialise_mix(docs: DataFrame, **options) -> DataFrame:
             )
         ).alias("_m_cut"),
     )
-    joined = staged.join(chosen, F.col(row) == F.col("_m_row"))
-    # the first n words with what stands before and between them
-    head = F.expr(
-        f"if(_m_cut < 0, {text}, regexp_extract({text}, "
-        r"concat('^(?:[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+){1,', cast(abs(_m_cut) as string), '}'), 0))"
-    )
-    changed = joined.withColumn(text, head)
+    whole = staged.join(chosen.filter("_m_cut < 0"), F.col(row) == F.col("_m_row")).select(*docs.columns)
+    shortened = staged.join(chosen.filter("_m_cut > 0"), F.col(row) == F.col("_m_row"))  # at most one a source
+    shortened = shortened.withColumn(text, _head(F.col(text), F.col("_m_cut")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_m_cut") < 0, F.col("n_chars")).otherwise(F.length(text)))
-    return changed.select(*docs.columns)
+        shortened = shortened.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return whole.unionByName(shortened.select(*docs.columns))
+
+
+def _head(text: Column, words: Column) -> Column:
+    """The first ``words`` words with what stands before and between them."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, counts: pd.Series) -> pd.Series:
+        ends = [next(islice(WORD.finditer(t), int(n) - 1, None)).end() for t, n in zip(texts, counts, strict=True)]
+        return pd.Series([t[:end] for t, end in zip(texts, ends, strict=True)], dtype=object)
+
+    return run(text, words)
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

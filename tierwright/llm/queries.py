@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import OP8_SQL, op8_chat_windows
 from .language import op2_cross_parse
 from .mixing import OP10_SQL, op10_source_mix
+from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_pack
 from .quality import op3_compression_bands
 from .secret_scan import op4_ownership
@@ -20,10 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ownership": op4_ownership,
     "op5_byte_shards": op5_byte_shards,
     "op6_pack": op6_pack,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_chat_windows": op8_chat_windows,
     "op9_lexicon": op9_lexicon,
     "op10_source_mix": op10_source_mix,
 }
 
 SQL: dict[str, str] = {
+    "op7_ngram_join": OP7_SQL,
+    "op8_chat_windows": OP8_SQL,
     "op10_source_mix": OP10_SQL,
 }
