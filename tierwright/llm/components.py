@@ -16,6 +16,8 @@ MAX_ROUNDS = 60
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links as a star around the smallest member of each component of this block."""
+    if not len(a):
+        return a, b
     nodes, index = np.unique(np.concatenate([a, b]), return_inverse=True)
     left, right = index[: len(a)], index[len(a) :]
     label = np.arange(len(nodes))

@@ -14,23 +14,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions, read_table, store
-from .components import components
+from .components import components, forest
 
-SHINGLE_WORDS = 4
-# Two sets link when DEN * intersection >= NUM * union.
-NUM, DEN = 85, 100
 # Elements that the prefixes of two linked large sets must share, and the size of subsets of small sets.
 SHARED = 3
 SUBSET = 2
 MAX_BOUNDARY = 256
-# Elements whose hash lies in this share of all hashes are counted; the frequent ones come last in the order.
-COUNTED_SHARE = 0.25
+# Elements are counted by their first bits, and the frequent ones come last in the order.  Any function of an
+# element gives a right order; with many more elements than 2 ** COUNT_BITS it would only be a worse one.
+COUNT_BITS = 36
 FREQUENT = 64
 MAX_FREQUENT = 1_000_000  # bound of the broadcast: 8 MB
 # A list of up to so many sets is compared in full; a longer one first around pivots.
 SHORT_LIST = 48
+# A long list is compared in blocks of at most so many sets and about so many elements.
+BLOCK_SETS, BLOCK_ELEMENTS = 2_000, 1_000_000
+VOCABULARY = 4_096  # columns of a block's matrix at a time
 
-_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype="uint64")
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Sets of distinct ``words``-grams link when 100 * intersection >= ``percent`` * union."""
+
+    words: int = 4
+    percent: int = 85
+
+    def links(self, common, a, b):
+        return 100 * common >= self.percent * (a + b - common)
+
+    def near(self, small, large):
+        """Whether the sizes allow a link."""
+        return 100 * small >= self.percent * large
+
+    def prefix(self, n: int, shared: int) -> int:
+        """Elements at the front of the common order, of which two linked sets share ``shared``."""
+        least_overlap = -(-self.percent * n // 100)
+        return min(n, n - least_overlap + shared)
+
+    def can_link(self, n: int) -> bool:
+        """Whether a set of this size can link to a different one: at best one is the other plus an element."""
+        return self.near(n, n + 1)
+
+
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype="uint64")
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -50,7 +77,7 @@ class Words(dict):
         return value
 
 
-def shingle_set(text: str | None, known: Words) -> np.ndarray:
+def shingle_set(text: str | None, known: Words, words_each: int) -> np.ndarray:
     """Sorted distinct hashes of a text's word n-grams; A-Z are lower-cased, nothing else."""
     if not text:
         return np.zeros(0, dtype="uint64")
@@ -59,11 +86,11 @@ def shingle_set(text: str | None, known: Words) -> np.ndarray:
     if not words:
         return np.zeros(0, dtype="uint64")
     h = np.fromiter(map(known.__getitem__, words), dtype="uint64", count=len(words))
-    if len(h) < SHINGLE_WORDS:
+    if len(h) < words_each:
         sums = sum((h[k : k + 1] * _MIX[k] for k in range(len(h))), np.full(1, len(h), dtype="uint64"))
         return _finish(sums)
-    n = len(h) - SHINGLE_WORDS + 1
-    sums = sum((_finish(h[k : k + n] + _MIX[k]) * _MIX[k] for k in range(SHINGLE_WORDS)), np.zeros(n, dtype="uint64"))
+    n = len(h) - words_each + 1
+    sums = sum((_finish(h[k : k + n] + _MIX[k]) * _MIX[k] for k in range(words_each)), np.zeros(n, dtype="uint64"))
     return np.unique(_finish(sums))
 
 
@@ -72,25 +99,10 @@ def digest(elements: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(elements.tobytes())).astype("int64"))
 
 
-def least_overlap(n: int) -> int:
-    """What a set of ``n`` shares at least with any set it links to."""
-    return -(-NUM * n // DEN)
-
-
-def prefix_length(n: int, shared: int) -> int:
-    """First elements, in the common order, of which two linked sets share ``shared``."""
-    return min(n, n - least_overlap(n) + shared)
-
-
-def can_link(n: int) -> bool:
-    """Whether a set of this size can link to a different one: at best one is the other plus an element."""
-    return DEN * n >= NUM * (n + 1)
-
-
-def _sets(batch_texts, known: Words, seen: set[int]):
+def _sets(batch_texts, known: Words, seen: set[int], words_each: int):
     """(set, name) of texts whose set has not come up in this task yet."""
     for text in batch_texts:
-        elements = shingle_set(text, known)
+        elements = shingle_set(text, known, words_each)
         if len(elements):
             name = digest(elements)
             if name not in seen:
@@ -100,7 +112,6 @@ def _sets(batch_texts, known: Words, seen: set[int]):
 
 
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
-    """Bucket by the low bits: the high ones decide what is counted."""
     return ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(n) >> np.uint64(32)).astype("int64")
 
 
@@ -117,13 +128,13 @@ def _dealt(keys: np.ndarray, columns: list[np.ndarray], n: int) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def name_sets(docs: DataFrame) -> DataFrame:
+def name_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n_shingles, name): the size and name of every document's set; name null for an empty set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
         for batch in batches:
-            sets = [shingle_set(t, known) for t in batch["text"]]
+            sets = [shingle_set(t, known, rule.words) for t in batch["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
@@ -137,105 +148,124 @@ def name_sets(docs: DataFrame) -> DataFrame:
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
-def frequent_elements(docs: DataFrame) -> tuple[np.ndarray, float]:
-    """Sorted frequent elements among the counted ones, and the mean list length that the others meet.
+def _squeeze(numbers: np.ndarray, compressor) -> bytes:
+    """Compressed byte planes of 64-bit numbers: high bytes are mostly zero."""
+    return compressor.compress(np.ascontiguousarray(numbers.astype("<u8").view("uint8").reshape(-1, 8).T).tobytes())
+
 
-    Exact counts over all texts.  Each task counts its own first, so a frequent element is one row a task.
+def _expand(data: bytes, decompressor) -> np.ndarray:
+    planes = np.frombuffer(decompressor.decompress(data), "uint8").reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
+
+
+def frequent_elements(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, float]:
+    """Sorted first bits of frequent elements, and the mean list length that the others meet.
+
+    Exact counts over all texts and elements.  Each task counts its own first, so a frequent element is one
+    number a task; sorted numbers travel as compressed differences.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    limit = np.uint64(int(COUNTED_SHARE * 2**64))
+    shift = np.uint64(64 - COUNT_BITS)
+    borders = np.asarray([(k << COUNT_BITS) // n for k in range(n)], dtype="uint64")
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        compressor = zstandard.ZstdCompressor(level=1)
         known, seen = Words(), set()
         for batch in batches:
-            found = [s[: np.searchsorted(s, limit)] for s, _ in _sets(batch["text"], known, seen)]
-            if found:
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield _dealt(keys, [counts.astype("uint32")], n)
+            found = [s >> shift for s, _ in _sets(batch["text"], known, seen, rule.words)]
+            if not found:
+                continue
+            keys, counts = np.unique(np.concatenate(found), return_counts=True)
+            at = np.append(np.searchsorted(keys, borders), len(keys))
+            rows = []
+            for k in range(n):
+                part, times = keys[at[k] : at[k + 1]], counts[at[k] : at[k + 1]]
+                if len(part):
+                    rows.append((k, _squeeze(np.diff(part, prepend=np.uint64(0)), compressor), _squeeze(times, compressor)))
+            yield pd.DataFrame(rows, columns=["bucket", "keys", "counts"]).astype({"bucket": "int32"})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        decompressor = zstandard.ZstdDecompressor()
         keys, counts = [], []
         for batch in batches:
-            keys += [np.frombuffer(x, "uint64") for x in batch["c0"]]
-            counts += [np.frombuffer(x, "uint32") for x in batch["c1"]]
+            keys += [np.cumsum(_expand(x, decompressor)) for x in batch["keys"]]
+            counts += [_expand(x, decompressor).astype("int64") for x in batch["counts"]]
         if keys:
-            keys, counts = np.concatenate(keys), np.concatenate(counts).astype("int64")
+            keys, counts = np.concatenate(keys), np.concatenate(counts)
             order = np.argsort(keys)
             keys, counts = keys[order], counts[order]
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             keys, counts = keys[starts], np.add.reduceat(counts, starts)
             often = counts > FREQUENT
-            yield pd.DataFrame({"key": keys[often].astype("int64"), "n": counts[often], "squares": 0.0})
+            yield pd.DataFrame({"key": keys[often].astype("int64"), "n": counts[often], "light": 0.0})
             rest = counts[~often].astype("float64")
             # the light ones as two sums, marked by n = 0 and n = -1
-            yield pd.DataFrame({"key": [0, 0], "n": [0, -1], "squares": [float(rest.sum()), float((rest**2).sum())]})
+            yield pd.DataFrame({"key": [0, 0], "n": [0, -1], "light": [float(rest.sum()), float((rest**2).sum())]})
 
-    dealt = docs.select("text").mapInPandas(local, "bucket int, c0 binary, c1 binary").repartitionById(n, "bucket")
-    counted = store(dealt.mapInPandas(count, "key long, n long, squares double"), "ngram-counts")
+    dealt = docs.select("text").mapInPandas(local, "bucket int, keys binary, counts binary").repartitionById(n, "bucket")
+    counted = store(dealt.mapInPandas(count, "key long, n long, light double"), "ngram-counts")
     rows = counted.filter("n > 0").orderBy(F.desc("n"), "key").limit(MAX_FREQUENT).select("key")
     often = np.sort(np.asarray([r["key"] for r in rows.collect()], dtype="int64").astype("uint64"))
-    sums = {r["n"]: r["s"] for r in counted.filter("n <= 0").groupBy("n").agg(F.sum("squares").alias("s")).collect()}
+    sums = {r["n"]: r["s"] for r in counted.filter("n <= 0").groupBy("n").agg(F.sum("light").alias("s")).collect()}
     return often, sums.get(-1, 0.0) / sums[0] if sums.get(0) else 1.0
 
 
-def choose_boundary(sizes: dict[int, int], large: int, mean_list: float) -> int:
+def choose_boundary(sizes: dict[int, int], mean_list: float, rule: Rule) -> int:
     """The largest size of a *small* set, by cost.
 
     Small sets cost the subsets they emit; large ones (and small ones near the boundary, which can link to
     them) cost a posting and a list scan for each prefix element.  ``sizes`` counts sets by size up to
-    ``MAX_BOUNDARY``; ``large`` are the others, whose cost does not depend on the boundary.
+    ``MAX_BOUNDARY``; the cost of the others does not depend on the boundary.
     """
 
     def cost(x: int) -> float:
-        subsets = sum(c * comb(prefix_length(n, SUBSET), SUBSET) for n, c in sizes.items() if n <= x)
-        scans = sum(c * prefix_length(n, SHARED) for n, c in sizes.items() if DEN * n >= NUM * (x + 1))
+        subsets = sum(c * comb(rule.prefix(n, SUBSET), SUBSET) for n, c in sizes.items() if n <= x)
+        scans = sum(c * rule.prefix(n, SHARED) for n, c in sizes.items() if rule.near(n, x + 1))
         return subsets + scans * (1 + mean_list)
 
-    del large
     return min(range(0, MAX_BOUNDARY + 1), key=cost)
 
 
 @dataclass
 class Order:
-    """The common order of elements: counted and rare, not counted, counted and frequent; then by hash."""
+    """The common order of elements: rare ones by hash, then frequent ones by hash."""
 
     often: np.ndarray
 
     def prefix(self, elements: np.ndarray, length: int) -> np.ndarray:
-        limit = np.uint64(int(COUNTED_SHARE * 2**64))
-        border = int(np.searchsorted(elements, limit))
-        counted = elements[:border]
-        if len(self.often) and border:
-            at = np.minimum(np.searchsorted(self.often, counted), len(self.often) - 1)
-            common = self.often[at] == counted
-        else:
-            common = np.zeros(border, dtype=bool)
-        rare = counted[~common]
-        if len(rare) >= length:
-            return rare[:length]
-        return np.concatenate([rare, elements[border:], counted[common]])[:length]
-
-
-def posting_keys(elements: np.ndarray, order: Order, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.often):
+            return elements[:length]
+        first_bits = elements >> np.uint64(64 - COUNT_BITS)
+        at = np.minimum(np.searchsorted(self.often, first_bits), len(self.often) - 1)
+        common = self.often[at] == first_bits
+        rare = elements[~common]
+        return rare[:length] if len(rare) >= length else np.concatenate([rare, elements[common]])[:length]
+
+
+def posting_keys(elements: np.ndarray, order: Order, boundary: int, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Keys under which a set is filed, and the weight of each: what a pair found there has shared."""
     n = len(elements)
     keys, weights = [], []
     if n <= boundary:
-        prefix = order.prefix(elements, prefix_length(n, SUBSET))
+        prefix = order.prefix(elements, rule.prefix(n, SUBSET))
         i, j = np.triu_indices(len(prefix), 1)
         # the two of a pair in hash order, so that every set makes the same key of them
         low, high = np.minimum(prefix[i], prefix[j]), np.maximum(prefix[i], prefix[j])
         keys.append(_finish(low * _MIX[0] + high * _MIX[1]))
         weights.append(np.full(len(i), SHARED, dtype="uint8"))
-    if DEN * n >= NUM * (boundary + 1):
-        prefix = order.prefix(elements, prefix_length(n, SHARED))
+    if rule.near(n, boundary + 1):
+        prefix = order.prefix(elements, rule.prefix(n, SHARED))
         keys.append(_finish(prefix + _MIX[2]))
         weights.append(np.ones(len(prefix), dtype="uint8"))
     return np.concatenate(keys), np.concatenate(weights)
 
 
-def file_sets(docs: DataFrame, order: Broadcast, boundary: int) -> DataFrame:
+def file_sets(docs: DataFrame, order: Broadcast, boundary: int, rule: Rule) -> DataFrame:
     """Postings of all sets, packed by bucket: key, name, size, weight."""
     n = partitions(docs.sparkSession)
 
@@ -243,9 +273,9 @@ def file_sets(docs: DataFrame, order: Broadcast, boundary: int) -> DataFrame:
         known, seen = Words(), set()
         for batch in batches:
             keys, names, sizes, weights = [], [], [], []
-            for elements, name in _sets(batch["text"], known, seen):
-                if can_link(len(elements)):
-                    own, weight = posting_keys(elements, order.value, boundary)
+            for elements, name in _sets(batch["text"], known, seen, rule.words):
+                if rule.can_link(len(elements)):
+                    own, weight = posting_keys(elements, order.value, boundary, rule)
                     keys.append(own)
                     weights.append(weight)
                     names.append(np.full(len(own), name, dtype="int64"))
@@ -257,7 +287,7 @@ def file_sets(docs: DataFrame, order: Broadcast, boundary: int) -> DataFrame:
     return packed.repartitionById(n, "bucket")
 
 
-def scan_lists(packed: DataFrame) -> DataFrame:
+def scan_lists(packed: DataFrame, rule: Rule) -> DataFrame:
     """Pairs and long lists of the postings: (kind, a, b, n).
 
     kind 'pair': names a < b and what they share here; kind 'long': key a, name b, size n of a list too long
@@ -283,7 +313,7 @@ def scan_lists(packed: DataFrame) -> DataFrame:
         left, right, shared = [], [], []
 
         def add(i: np.ndarray, j: np.ndarray, given: np.ndarray) -> None:
-            fits = DEN * size[i] >= NUM * size[j]
+            fits = rule.near(size[i], size[j])
             left.append(np.minimum(name[i], name[j])[fits])
             right.append(np.maximum(name[i], name[j])[fits])
             shared.append(given[fits])
@@ -303,7 +333,7 @@ def scan_lists(packed: DataFrame) -> DataFrame:
             a, b = starts[k], starts[k] + lengths[k]
             pivot, pivots = a, np.empty(b - a, dtype="int64")
             for i in range(a, b):
-                if DEN * size[pivot] < NUM * size[i]:
+                if not rule.near(size[pivot], size[i]):
                     pivot = i
                 pivots[i - a] = pivot
             members = np.arange(a, b)
@@ -323,21 +353,23 @@ def scan_lists(packed: DataFrame) -> DataFrame:
     return packed.mapInPandas(run, "kind string, a long, b long, n long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set names whose sets do link, by their full intersection."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "name")
-    # one document of each set is enough
-    ids = named.filter("doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id")).join(wanted, "name").select("doc_id")
+def rebuilt_sets(names: DataFrame, docs: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
+    """(name, elements) of the sets called ``names``, from one document of each."""
+    ids = named.filter("doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id")).join(names, "name").select("doc_id")
     texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi")
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
         for batch in batches:
-            sets = [shingle_set(t, known) for t in batch["text"]]
+            sets = [shingle_set(t, known, rule.words) for t in batch["text"]]
             sets = [s for s in sets if len(s)]
             yield pd.DataFrame({"name": [digest(s) for s in sets], "elements": [s.tobytes() for s in sets]}).astype({"name": "int64"})
 
-    sets = store(texts.select("text").mapInPandas(rebuild, "name long, elements binary").dropDuplicates(["name"]), "ngram-sets")
+    return store(texts.select("text").mapInPandas(rebuild, "name long, elements binary").dropDuplicates(["name"]), "ngram-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) of set names whose sets do link, by their full intersection."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -346,56 +378,94 @@ def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
                 x, y = np.frombuffer(x, "uint64"), np.frombuffer(y, "uint64")
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common = int((y[at] == x).sum())
-                linked.append(DEN * common >= NUM * (len(x) + len(y) - common))
+                linked.append(rule.links(common, len(x), len(y)))
             yield batch.loc[linked, ["a", "b"]]
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInPandas(compare, "a long, b long")
 
 
-def ngram_components(docs: DataFrame) -> DataFrame:
+def block_links(block: pd.DataFrame, rule: Rule) -> pd.DataFrame:
+    """A forest of the links between sets of different components in one block of a long list."""
+    block = block.drop_duplicates("node")
+    names, component = block["node"].to_numpy(), block["component"].to_numpy()
+    elements = [np.frombuffer(x, "uint64") for x in block["elements"]]
+    sizes = np.asarray([len(e) for e in elements], dtype="int64")
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values, inverse, counts = np.unique(np.concatenate(elements), return_inverse=True, return_counts=True)
+    number = np.cumsum(counts > 1) - 1  # elements of one set alone are in no intersection
+    shared = counts[inverse] > 1
+    owner, column = owner[shared], number[inverse[shared]]
+    common = np.zeros((len(sizes), len(sizes)), dtype="float32")
+    for low in range(0, int(column.max(initial=-1)) + 1, VOCABULARY):
+        here = (column >= low) & (column < low + VOCABULARY)
+        matrix = np.zeros((len(sizes), VOCABULARY), dtype="float32")
+        matrix[owner[here], column[here] - low] = 1
+        common += matrix @ matrix.T
+    linked = rule.links(common, sizes[:, None], sizes[None, :])
+    linked &= component[:, None] < component[None, :]
+    i, j = np.nonzero(linked)
+    a, b = forest(np.minimum(names[i], names[j]), np.maximum(names[i], names[j]))
+    return pd.DataFrame({"a": a, "b": b})
+
+
+def long_list_links(long: DataFrame, found: DataFrame, docs: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
+    """Links between the components that long lists (key, node, size) still hold, as forests.
+
+    A list whose sets are one component already is done.  The others are compared block by block, every
+    block of a list with every other, so a list of any length is many tasks of bounded size and no pair
+    becomes a row.
+    """
+    labelled = long.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("key").agg(
+        F.min("component").alias("lo"),
+        F.max("component").alias("hi"),
+        F.greatest(F.ceil(F.sum("size") / BLOCK_ELEMENTS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"),
+    )
+    mixed = mixed.filter("lo < hi").select("key", "blocks")
+    open_lists = store(labelled.join(mixed, "key").select("key", "node", "component", "blocks"), "ngram-open")
+    sets = rebuilt_sets(open_lists.select(F.col("node").alias("name")).distinct(), docs, named, rule)
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    dealt = open_lists.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component")
+    filled = dealt.join(sets.withColumnRenamed("name", "node"), "node")
+    return filled.groupBy("key", "i", "j").applyInPandas(lambda block: block_links(block, rule), "a long, b long")
+
+
+def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
 
-    Sets of distinct 4-word shingles link when 100 * intersection >= 85 * union.  Equal sets are one set from
+    Sets of distinct word shingles link by ``rule``.  Equal sets are one set from
     the start.  All sets follow one order of elements, rare ones first, in which two linked sets must share
     some of their first elements.  Small sets are filed under the 2-element subsets of that prefix, large
     sets in an inverted list for each prefix element, and pairs that share enough lists are compared in full;
     where small ends is chosen by cost.  Long lists are first compared around pivots; what they leave in
-    different components is then compared pair by pair, so no link between components is lost.
+    different components is then compared block by block, so no link between components is lost.
 
-    Null and empty texts have no set and link with nothing; a text below 4 words has one shingle.  Ties:
+    Null and empty texts have no set and link with nothing; a text with fewer words than a shingle has one shingle.  Ties:
     the component is named by its smallest doc_id.  Repeated rows each get a row; a row with a null doc_id
     gets the component of the sets it equals or null if there is none.  Other columns are not read, and an
     empty table gives no rows.
     """
     spark = docs.sparkSession
-    named = store(name_sets(docs), "ngram-names")
+    named = store(name_sets(docs, rule), "ngram-names")
     sized = named.filter(F.col("name").isNotNull()).groupBy("name").agg(F.first("n_shingles").alias("n"))
     histogram = {r["n"]: r["c"] for r in sized.filter(F.col("n") <= MAX_BOUNDARY).groupBy("n").agg(F.count("*").alias("c")).collect()}
-    often, mean_list = frequent_elements(docs)
-    boundary = choose_boundary({n: c for n, c in histogram.items() if can_link(n)}, 0, mean_list)
+    often, mean_list = frequent_elements(docs, rule)
+    boundary = choose_boundary({n: c for n, c in histogram.items() if rule.can_link(n)}, mean_list, rule)
     order = spark.sparkContext.broadcast(Order(often))
-    scanned = store(scan_lists(file_sets(docs, order, boundary)), "ngram-scan")
+    scanned = store(scan_lists(file_sets(docs, order, boundary, rule), rule), "ngram-scan")
     pairs = store(
         scanned.filter("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= SHARED).select("a", "b"),
         "ngram-pairs",
     )
-    links = store(verified(pairs, docs, named), "ngram-links")
+    sets = rebuilt_sets(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), docs, named, rule)
+    links = store(verified(pairs, sets, rule), "ngram-links")
     found = components(links, "ngram-components")
-    # long lists: pairs of different components, unless all of a list is one already
     long = scanned.filter("kind = 'long'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n").alias("size"))
     if not long.isEmpty():
-        labelled = long.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-        open_lists = store(labelled.join(mixed, "key", "left_semi"), "ngram-open")
-        x, y = open_lists.alias("x"), open_lists.alias("y")
-        near = (F.col("x.size") * DEN >= F.col("y.size") * NUM) & (F.col("y.size") * DEN >= F.col("x.size") * NUM)
-        across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & near)
-        more = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        more = store(more.join(pairs, ["a", "b"], "left_anti"), "ngram-more-pairs")
-        if not more.isEmpty():
-            links = links.union(store(verified(more, docs, named), "ngram-more-links"))
-            found = components(links, "ngram-components")
+        more = store(long_list_links(long, found, docs, named, rule), "ngram-more-links")
+        found = components(links.union(more), "ngram-components")
     groups = named.join(found.withColumnRenamed("node", "name"), "name", "left").withColumn(
         "component", F.coalesce("component", "name")
     )
@@ -405,9 +475,9 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     return with_set.unionByName(without)
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
     """``docs`` with the row of the smallest doc_id of each component; rows with a null doc_id stay."""
-    keep = ngram_components(docs.select("doc_id", "text")).filter("doc_id = component_id").select("doc_id").distinct()
+    keep = ngram_components(docs.select("doc_id", "text"), rule).filter("doc_id = component_id").select("doc_id").distinct()
     once = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return once.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 

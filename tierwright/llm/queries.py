@@ -14,9 +14,11 @@ from .packing import op6_pack
 from .quality import op3_compression_bands
 from .secret_scan import op4_ownership
 from .sharding import op5_byte_shards
+from .spherical import OP1_SQL, op1_spherical_caps
 from .toxicity import op9_lexicon
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spherical_caps": op1_spherical_caps,
     "op2_cross_parse": op2_cross_parse,
     "op3_compression_bands": op3_compression_bands,
     "op4_ownership": op4_ownership,
@@ -29,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_spherical_caps": OP1_SQL,
     "op7_ngram_join": OP7_SQL,
     "op8_chat_windows": OP8_SQL,
     "op10_source_mix": OP10_SQL,
