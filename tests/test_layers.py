@@ -33,14 +33,14 @@ def transaction(i, account, **changes):
     row = {
         "transaction_id": f"t{i:02d}",
         "account_id": account,
-        "transaction_date": "2025-03-22",
-        "transaction_time": "14:37:05",
+        "transaction_date": "2025-06-18",
+        "transaction_time": "11:52:40",
         "transaction_type": TRANSACTION_TYPES[i % 4],
         "merchant_category": "GROCERY",
         "amount": 10.5 + i,
         "currency": "ZAR",
         "channel": "POS",
-        "location": {"province": "Gauteng", "city": "Sandton", "coordinates": None},
+        "location": {"province": "Gauteng", "city": "Utopia", "coordinates": None},
         "metadata": {"device_id": None, "session_id": None, "retry_flag": False},
     }
     return row | changes
@@ -52,11 +52,11 @@ def sources(tmp_path):
 
     def make(transactions=None, account_rows=None):
         customers = [
-            [f"c{i}", "*1234", "A", "B", "1987-04-15", "F", p, "LOW", "MASS", "5", "VERIFIED", "HL|CC"]
+            [f"c{i}", "*1234", "A", "B", "1984-09-02", "F", p, "LOW", "MASS", "5", "VERIFIED", "HL|CC"]
             for i, p in enumerate(PROVINCES)
         ]
         accounts = account_rows or [
-            [f"a{i}", f"c{i}", "CREDIT" if i % 2 else "SAVINGS", "ACTIVE", "2021-06-14", "BASIC", "",
+            [f"a{i}", f"c{i}", "CREDIT" if i % 2 else "SAVINGS", "ACTIVE", "2019-10-30", "BASIC", "",
              "APP", "5000.00" if i % 2 else "", "12.50", "" if i % 3 else "03/11/2025"]
             for i in range(9)
         ]
@@ -76,8 +76,8 @@ def test_whole_run(spark, sources, folder):
     root = folder()
     twice = transaction(3, "a3", transaction_time="14:37:06")
     spelled = [
-        transaction(20, "a1", transaction_date="22/03/2025", currency="rands"),
-        transaction(21, "a1", transaction_date="1742601600", currency=710, amount="12.30"),
+        transaction(20, "a1", transaction_date="18/06/2025", currency="rands"),
+        transaction(21, "a1", transaction_date="1750204800", currency=710, amount="12.30"),
         transaction(22, "a2", currency="USD"),
     ]
     inputs = sources([*[transaction(i, f"a{i}") for i in range(9)], twice, *spelled])
@@ -99,7 +99,7 @@ def test_whole_run(spark, sources, folder):
     assert {r.currency for r in fact.values()} == {"ZAR"}
     assert {k for k, r in fact.items() if r.dq_flag} == {"t22"}
     assert fact["t22"].dq_flag == "CURRENCY_VARIANT"
-    assert {fact[k].transaction_timestamp for k in ("t20", "t21")} == {dt.datetime(2025, 3, 22, 14, 37, 5)}
+    assert {fact[k].transaction_timestamp for k in ("t20", "t21")} == {dt.datetime(2025, 6, 18, 11, 52, 40)}
     assert fact["t21"].amount == Decimal("12.30")
     assert sorted(r.transaction_sk for r in fact.values()) == list(range(1, 13))
     assert [r.transaction_sk for _, r in sorted(fact.items())] == list(range(1, 13))
@@ -250,12 +250,12 @@ def test_cast_removes_the_zone(spark):
 
 
 def test_every_dirty_row_has_a_place(spark, folder):
-    def row(i, account="a1", date="2025-03-22", amount="10.00", currency="ZAR", text=False, key=None):
+    def row(i, account="a1", date="2025-06-18", amount="10.00", currency="ZAR", text=False, key=None):
         return (key or f"t{i}", account, date, "10:00:00", "DEBIT", amount, currency, text, dt.datetime(2025, 1, 1), f"h{i:02d}")
 
     rows = [
         row(1),
-        row(2, date="22/03/2025"),
+        row(2, date="18/06/2025"),
         row(3, date="soon"),
         row(4, currency="710"),
         row(5, text=True),
@@ -286,7 +286,7 @@ def test_every_dirty_row_has_a_place(spark, folder):
         "t5": ("TYPE_MISMATCH", ["TYPE_MISMATCH"]),
         "dup": ("DUPLICATE_DEDUPED", ["DUPLICATE_DEDUPED", "CURRENCY_VARIANT"]),
     }
-    assert loaded["t2"].transaction_timestamp == dt.datetime(2025, 3, 22, 10)
+    assert loaded["t2"].transaction_timestamp == dt.datetime(2025, 6, 18, 10)
     assert {r.currency for r in loaded.values()} == {"ZAR"}
     out = {(r.transaction_id, r.reason) for r in parts.kept_out.collect()}
     assert out == {
@@ -312,7 +312,7 @@ def test_every_dirty_row_has_a_place(spark, folder):
 
 
 def test_run_with_rules_places_every_row(spark, sources, folder):
-    def account(key, customer, opened="2021-06-14", balance="12.50"):
+    def account(key, customer, opened="2019-10-30", balance="12.50"):
         return [key, customer, "SAVINGS", "ACTIVE", opened, "BASIC", "", "APP", "", balance, ""]
 
     accounts = [
@@ -327,7 +327,7 @@ def test_run_with_rules_places_every_row(spark, sources, folder):
     rows = [
         *[transaction(i, f"a{i}") for i in range(9)],
         transaction(3, "a3", transaction_time="14:37:06"),
-        transaction(20, "a1", transaction_date="22/03/2025"),
+        transaction(20, "a1", transaction_date="18/06/2025"),
         transaction(21, "a1", amount="7.25"),
         transaction(22, "a1", currency="USD"),
         transaction(23, "lost"),
@@ -377,3 +377,20 @@ def test_run_with_rules_places_every_row(spark, sources, folder):
         run_with_rules(spark, inputs, folder(), RUN, rules=rules, drift_policy="strict")
     with pytest.raises(QualityFailed, match="TYPE_MISMATCH"):
         run_with_rules(spark, inputs, folder(), RUN, rules=replace(rules, fail_threshold=0.1))
+
+
+def test_failed_batch_publishes_nothing(spark, sources, folder):
+    rows = [transaction(i, f"a{i}") for i in range(9)] + [transaction(50, "nobody")]
+    root = folder()
+    with pytest.raises(Exception, match="fact_transactions"):
+        layers.run_layers(spark, sources(rows), root, RUN, batch_id="b1")
+    for layer, table in (("star", "fact_transactions"), ("star", "dim_accounts"), ("raw", "customers")):
+        with pytest.raises(FileNotFoundError):
+            LayerStore(spark, root, "x").latest(layer, table)
+
+
+@pytest.mark.parametrize("extra", [{"terminal": "T7"}, {"metadata": {"device_id": None, "session_id": None, "retry_flag": False, "os": "x"}}])
+def test_unknown_json_key_stops_the_run(spark, sources, folder, extra):
+    rows = [transaction(i, f"a{i}") for i in range(8)] + [transaction(8, "a8", **extra)]
+    with pytest.raises(Exception, match="unknown columns"):
+        layers.run_layers(spark, sources(rows), folder(), RUN)

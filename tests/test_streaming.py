@@ -176,3 +176,15 @@ def test_freshness_tiers(spark):
     rows = [(START, START + dt.timedelta(seconds=s)) for s in (0, 300, 301, 600, 601)]
     df = spark.createDataFrame(rows, "transaction_timestamp timestamp, updated_at timestamp")
     assert {r.tier: r["rows"] for r in freshness_report(df).collect()} == {"full": 2, "partial": 2, "none": 1}
+
+
+def test_unknown_type_is_set_aside(spark, accounts, folder):
+    tables = StreamTables(spark, folder(), accounts)
+    rows = [
+        ("a", "t1", START, Decimal("5.00"), "CREDIT", "POS"),
+        ("a", "t2", START, Decimal("7.00"), "TRANSFER", "POS"),
+    ]
+    tables.apply(spark.createDataFrame(rows, BATCH_SCHEMA), 0)
+    assert [r.transaction_id for r in tables.ledger().collect()] == ["t1"]
+    assert [(r.transaction_id, r.reason) for r in tables.quarantined().collect()] == [("t2", "UNKNOWN_TYPE")]
+    assert [r.current_balance for r in tables.current_balances().collect()] == [Decimal("105.00")]

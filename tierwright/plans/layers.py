@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierwright.functions.literals import small_frame
 from tierwright.operators.audit import new_batch_id, with_audit
 from tierwright.operators.contracts import Contract
+from tierwright.operators.drift import require_known_keys
 from tierwright.operators.flatten import flatten_structs
 from tierwright.operators.integrity import count_orphans
 from tierwright.operators.reconcile import require_conserved
@@ -26,7 +27,13 @@ from tierwright.plans.star import (
 from tierwright.plans.typed import typed_accounts, typed_customers, typed_transactions
 from tierwright.session import run_together
 from tierwright.sinks.tables import LayerStore
-from tierwright.sources.files import EmptySource, read_csv_text, read_json_lines
+from tierwright.sources.files import (
+    TRANSACTION_JSON,
+    EmptySource,
+    read_csv_text,
+    read_json_lines,
+    read_raw_lines,
+)
 
 # How each source names itself in the audit columns
 SOURCE_SYSTEMS = {
@@ -86,7 +93,7 @@ class Run:
     log: RunLog
     audit: dict
     run_date: dt.date | str | None = None
-    recheck_unique: bool = False
+    recheck_unique: bool = True
 
     @classmethod
     def begin(
@@ -98,7 +105,7 @@ class Run:
         batch_id: str | None = None,
         ingested_at: dt.datetime | None = None,
         hash_algorithm: str = "xxhash64",
-        recheck_unique: bool = False,
+        recheck_unique: bool = True,
     ) -> Run:
         batch_id = batch_id or new_batch_id()
         audit = {
@@ -107,6 +114,7 @@ class Run:
             "algorithm": hash_algorithm,
         }
         store = LayerStore(spark, root, batch_id)
+        store.withdraw_batch()
         return cls(spark, inputs, store, RunLog(batch_id), audit, run_date, recheck_unique)
 
     def step(
@@ -115,7 +123,7 @@ class Run:
         """Write a table; the number of rows it got."""
         with self.log.timed(f"{layer}.{table}"):
             unique = [] if self.recheck_unique else [c.name for c in contract.columns if c.unique]
-            rows = self.store.write(df, layer, table, contract, guaranteed=unique).rows
+            rows = self.store.write(df, layer, table, contract, guaranteed=unique, publish=False).rows
         self.log.tables.append((layer, table, rows if rows_in is None else rows_in, rows))
         return rows
 
@@ -145,7 +153,7 @@ class Run:
         return self.customer_dimension(n)
 
     def finish(self, numbered: DataFrame, rows: int) -> RunLog:
-        """Link the fact table to the dimensions, publish it, check the star."""
+        """Link the fact table to the dimensions, check the star, then publish the batch."""
         accounts = self.store.read("star", "dim_accounts")
         customers = self.store.read("star", "dim_customers")
         fact = link_transactions(numbered, accounts, customers)
@@ -154,17 +162,18 @@ class Run:
         with self.log.timed("checks"):
             fact = self.store.read("star", "fact_transactions")
             require_star_checks(fact, accounts, customers)
+        self.store.publish_batch()
         return self.log
 
 
 def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options) -> RunLog:
     """Build and publish all tables of a batch under ``root``; stop at the first breach.
 
-    Further arguments are those of :meth:`Run.begin`.  Every unique column here is
-    unique by construction: typed keys are what deduplication groups by, surrogate
-    keys are row numbers over them, and the fact table joins each row to unique
-    dimension keys.  ``recheck_unique`` proves it again from the written tables, at
-    the price of one more shuffle per column.
+    Nothing is visible to readers until the last check holds.  Keys that a JSON line
+    was not expected to have stop the run, nested ones too.  Unique columns are
+    proved unique from the written tables; ``recheck_unique=False`` trusts the plan,
+    which makes them so, and saves one shuffle per column.  Further arguments are
+    those of :meth:`Run.begin`.
     """
     run = Run.begin(spark, inputs, root, *args, **options)
 
@@ -183,9 +192,13 @@ def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options)
         n = run.typed("transactions", typed, C.TYPED_TRANSACTIONS, n)
         return n, numbered_transactions(run.store.read("typed", "transactions"), rows=n)
 
+    def known_keys() -> None:
+        lines = read_raw_lines(spark, inputs.transactions)
+        require_known_keys(lines, TRANSACTION_JSON, SOURCE_SYSTEMS["transactions"])
+
     # the sources do not depend on each other until the fact table joins them
     with run.log.timed("sources_to_dimensions"):
-        done = run_together(spark, transactions_flow, accounts_flow, run.customers_flow)
+        done = run_together(spark, transactions_flow, accounts_flow, run.customers_flow, known_keys)
     rows, numbered = done[0]
     return run.finish(numbered, rows)
 

@@ -2,7 +2,8 @@
 
 A layer table lives in ``<root>/<layer>/<table>/batch=<id>``.  A write is checked
 against its contract and then published with a marker file, so a reader never
-sees an off-contract or half-written batch, and nothing has to be renamed.
+sees an off-contract or half-written batch, and nothing has to be renamed.  A run
+publishes all its tables with one marker, after its last check.
 Re-running a batch overwrites only its own folder, schema included.
 """
 
@@ -24,9 +25,11 @@ from tierwright.operators.contracts import (
     structural_violations,
 )
 from tierwright.sources.files import scan_table
-from tierwright.sources.folders import mark, versions
+from tierwright.sources.folders import mark, remove, versions
 
 PUBLISHED = "_PUBLISHED"
+# Folder of the markers that publish all tables of a batch at once.
+BATCHES = "_batches"
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -102,11 +105,26 @@ class LayerStore:
 
     def latest(self, layer: str, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """The newest published batch; batch ids sort by time."""
-        done = versions(self.spark, f"{self.root}/{layer}/{table}", "batch", PUBLISHED)
+        folder = f"{self.root}/{layer}/{table}"
+        written = set(versions(self.spark, folder, "batch"))
+        whole = versions(self.spark, f"{self.root}/{BATCHES}", "batch", PUBLISHED)
+        alone = versions(self.spark, folder, "batch", PUBLISHED)
+        done = sorted({*alone, *(b for b in whole if b in written)})
         if not done:
             raise FileNotFoundError(f"no published batch of {layer}/{table} under {self.root}")
         return self.read(layer, table, columns, done[-1])
 
+    def _batch_folder(self) -> str:
+        return f"{self.root}/{BATCHES}/batch={self.batch_id}"
+
+    def publish_batch(self) -> None:
+        """Make all tables of this batch visible with one marker."""
+        mark(self.spark, f"{self._batch_folder()}/{PUBLISHED}")
+
+    def withdraw_batch(self) -> None:
+        """Hide a batch that is about to be written again."""
+        remove(self.spark, self._batch_folder())
+
     def write(
         self,
         df: DataFrame,
@@ -115,8 +133,9 @@ class LayerStore:
         contract: Contract | None = None,
         partition_by: Sequence[str] = (),
         guaranteed: Sequence[str] = (),
+        publish: bool = True,
     ) -> Written:
-        """Write, check, publish.
+        """Write, check, publish; without ``publish`` it waits for :meth:`publish_batch`.
 
         Rows, and rows breaking a null or domain rule, are counted while the write
         runs, so the plan is executed once; only unique columns are read back.
@@ -145,5 +164,6 @@ class LayerStore:
             if counts.get("breaches"):
                 enforce(stored, contract)
             enforce_unique(stored, contract, skip=guaranteed)
-        mark(self.spark, f"{path}/{PUBLISHED}")
+        if publish:
+            mark(self.spark, f"{path}/{PUBLISHED}")
         return Written(path, counts.get("rows") or 0)

@@ -6,7 +6,7 @@ batch overwrites its own folders and ignores its own ledger entry, so it comes
 to the same result.
 
     arrived/batch=N     usable rows of batch N, one per transaction id
-    unusable/batch=N    rows of batch N that lack a required value
+    unusable/batch=N    rows of batch N that lack a required value or have an unknown type
     ledger/batch=N      rows of batch N whose transaction id is new
     balances/batch=N    net change and latest event per account touched by N
     recent/batch=N      newest rows per account within N
@@ -62,7 +62,7 @@ def matching(large: DataFrame, small: DataFrame, key: str) -> DataFrame:
 
 
 def signed_amount(signs: Mapping[str, int] = BALANCE_SIGNS) -> Column:
-    """Amount with the sign of its type; a type without a sign fails the batch."""
+    """Amount with the sign of its type; rows of a type without a sign are set aside before."""
     pairs = [F.lit(p) for k, v in signs.items() for p in (k, v)]
     return F.col("amount") * F.element_at(F.create_map(*pairs), F.col("transaction_type"))
 
@@ -87,6 +87,10 @@ class StreamTables:
     def _clock(self) -> Column:
         return self.updated_at if self.updated_at is not None else F.current_timestamp()
 
+    @property
+    def _signs(self) -> Mapping[str, int]:
+        return self.signs or BALANCE_SIGNS
+
     # folders
 
     def _batch(self, table: str, batch_id: int) -> str:
@@ -122,6 +126,8 @@ class StreamTables:
         usable = F.lit(True)
         for name in REQUIRED:
             usable = usable & F.col(name).isNotNull()
+        # a type without a sign would change the balance by nothing, unseen
+        usable = usable & F.coalesce(F.col("transaction_type").isin(*self._signs), F.lit(False))
         stamped = batch.withColumn("updated_at", self._clock)
         self._write(stamped.where(~usable), ARRIVED_SCHEMA, self._batch("unusable", batch_id))
         first = keep_first(stamped.where(usable), ["transaction_id"], self._arrival_order())
@@ -140,9 +146,8 @@ class StreamTables:
 
         # the written rows are the materialised result; both tables derive from them
         valid = self._stored(LEDGER_SCHEMA, "ledger", batch_id).where("not is_orphan")
-        signs = self.signs or BALANCE_SIGNS
         changes = valid.groupBy("account_id").agg(
-            F.sum(signed_amount(signs)).alias("net_change"),
+            F.sum(signed_amount(self._signs)).alias("net_change"),
             F.max("transaction_timestamp").alias("last_transaction_timestamp"),
             F.max("updated_at").alias("updated_at"),
         )
@@ -242,6 +247,10 @@ class StreamTables:
         """Rows that changed no table, with the reason."""
         orphaned = self.ledger().where("is_orphan").drop("is_orphan")
         unusable = self._all_batches("unusable", ARRIVED_SCHEMA)
+        complete = F.lit(True)
+        for name in REQUIRED:
+            complete = complete & F.col(name).isNotNull()
+        reason = F.when(complete, F.lit("UNKNOWN_TYPE")).otherwise(F.lit("NULL_REQUIRED"))
         return orphaned.withColumn("reason", F.lit("ORPHANED_ACCOUNT")).unionByName(
-            unusable.withColumn("reason", F.lit("NULL_REQUIRED"))
+            unusable.withColumn("reason", reason)
         )
