@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import crc_of_id, read_table
+from .common import crc_of_id, read_table, store
 from .quality import words_of
 
 # Letters of other scripts and signs that are read as these Latin letters.
@@ -109,7 +109,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFra
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_class).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null").select("text", "toxic")
+    # at most 2 * per_class ids are broadcast, so no text is shuffled; the sample is read several times
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null")
+    return store(sample.select("text", "toxic"), "toxicity-sample")
 
 
 def count_keys(rows: DataFrame, keys) -> DataFrame:
