@@ -6,11 +6,11 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from oracle.queries import SQL
+from tierwright.plans.catalog import QUERIES
 
 pytestmark = pytest.mark.skipif(not Path(SMOKE_DIR).is_dir(), reason="test tables not present")
 
-QUERIES, SQL = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -19,6 +19,8 @@ def con():
 
 def test_each_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= queries().keys()
+    assert oracle_sql().keys() <= queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
