@@ -53,12 +53,28 @@ def test_mix_meets_budgets(spark, n):
         assert (part["taken"] <= 3 * part["size"]).all()
 
 
-def test_materialised_mix_has_the_words_taken(spark):
-    docs = spark.createDataFrame(rows(100), SCHEMA)
+@pytest.mark.parametrize("extra", [[], [(7, "same row " * 3, "s2", "x", 1, "t")] * 150])
+def test_materialised_mix_has_the_words_taken(spark, extra):
+    docs = spark.createDataFrame(rows(100) + extra, SCHEMA).withColumnRenamed("shard", "_cut")
     mixed = materialise_mix(docs)
     assert mixed.columns == docs.columns
-    words = sum(len((r.text or "").split()) for r in mixed.collect())
-    assert words == mix_sources(docs).toPandas()["taken"].sum()
+    taken, mixed_words = {}, {}
+    for r in mix_sources(docs).collect():
+        taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.taken
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault((r.doc_id, r.source), set()).add(r.text)
+    shortened = 0
+    for r in mixed.collect():
+        name = (r.doc_id, r.source)
+        mixed_words[name] = mixed_words.get(name, 0) + len((r.text or "").split())
+        if r.text not in texts[name]:
+            shortened += 1
+            assert any((t or "").startswith(r.text) for t in texts[name])
+    assert {k: n for k, n in mixed_words.items() if n} == {k: n for k, n in taken.items() if n}
+    assert shortened <= 4  # one cut a source
+    wordless = [r for r in docs.collect() if not (r.text or "").split()]
+    assert sum(not (r.text or "").split() for r in mixed.collect()) == len(wordless)
 
 
 def test_empty_tables(spark):

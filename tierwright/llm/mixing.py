@@ -56,9 +56,28 @@ def source_budgets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     )
 
 
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+def _key(doc_id: Column, seed: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+
+
+def _placed(sized: DataFrame, order: Sequence[str], weights: Sequence[int], max_epochs: int) -> DataFrame:
+    """``sized`` with its source's budget: ``whole`` epochs and ``rest`` words of one more, and ``size_before``."""
+    summed = running_totals(sized, order, ("size",), by=("source",), label="mix")
+    sizes = summed.groupBy("source").agg(F.max("size_total").alias("source_size"))
+    budgets = source_budgets(sizes, weights, max_epochs).withColumnRenamed("source", "b_source")
+    joined = summed.join(budgets, F.col("source").eqNullSafe(F.col("b_source")))
+    rest = F.expr("coalesce(budget % nullif(source_size, 0), 0)")
+    return joined.withColumn("rest", rest).withColumn(
+        "whole", F.expr("coalesce(try_divide(budget - rest, source_size), 0)").cast("long")
+    )
+
+
 def mix_sources(
     docs: DataFrame,
-    keep: Sequence[str] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -73,60 +92,59 @@ def mix_sources(
     with budget q * S + r is taken q times whole, and once more up to its r-th word: ``taken`` sums to the
     whole part of the target exactly, and the document on the cut is taken in part.  A null text has size 0
     and a null id a key of its own; a null source is a source.  Empty tables give no rows, and sources
-    without words a target of 0.  Columns named in ``keep`` are carried along; no text is shuffled.
+    without words a target of 0.  No text is shuffled.
     """
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary")).alias("key"),
-        *keep,
-    )
-    summed = running_totals(sized, ("key", "doc_id", "size"), ("size",), by=("source",), label="mix")
-    sizes = summed.groupBy("source").agg(F.max("size_total").alias("source_size"))
-    budgets = source_budgets(sizes, weights, max_epochs).withColumnRenamed("source", "b_source")
-    joined = summed.join(budgets, F.col("source").eqNullSafe(F.col("b_source")))
-    whole = F.expr("coalesce(try_divide(budget - budget % nullif(source_size, 0), source_size), 0)").cast("long")
-    rest = F.expr("coalesce(budget % nullif(source_size, 0), 0)")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("size_before")))
-    return joined.select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (whole * F.col("size") + part).cast("long").alias("taken"),
-        *keep,
+        _size(F.col(text_col)).alias("size"),
+        _key(F.col(id_col), seed).alias("key"),
     )
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("size_before")))
+    taken = (F.col("whole") * F.col("size") + part).cast("long").alias("taken")
+    placed = _placed(sized, ("key", "doc_id", "size"), weights, max_epochs)
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken)
 
 
-def materialise_mix(docs: DataFrame, **options) -> DataFrame:
+def materialise_mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
     """The mix itself: rows of ``docs`` repeated whole, the document on a source's cut shortened.
 
     Returns the columns of ``docs``; ``n_chars``, if there is one, follows a shortened text.  A document
     that the mix does not take is absent, one without words stays once: it costs no budget.
+
+    Texts are stored with their place in the order and not shuffled: all a document needs to know is whether
+    it comes before the cut of its source, and there is one cut a source.
     """
-    row = free_name(docs.columns, "_row")
-    text = options.get("text_col", "text")
-    staged = store(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
-    taken = mix_sources(staged, keep=(row,), **options).select(
-        F.col(row).alias("_m_row"),
-        F.expr("case when size = 0 then 1 else taken div size end").alias("_m_whole"),
-        F.expr("case when size = 0 then 0 else taken % size end").alias("_m_words"),
-    )
-    chosen = taken.filter("_m_whole + _m_words > 0").select(
-        "_m_row",
-        F.explode(
-            F.expr(
-                "concat(array_repeat(-1L, cast(_m_whole as int)), if(_m_words > 0, array(_m_words), array()))"
-            )
-        ).alias("_m_cut"),
+    place, cut = free_name(docs.columns, "_place"), free_name(docs.columns, "_cut")
+    fields = {"key": _key(F.col(id_col), seed), "size": _size(F.col(text_col)), "row": F.monotonically_increasing_id()}
+    staged = store(docs.withColumn(place, F.struct(*[c.alias(n) for n, c in fields.items()])), "mix-docs")
+    sized = staged.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), f"{place}.*")
+    order = ("key", "doc_id", "size", "row")
+    beyond = (F.col("size") > 0) & (F.col("size_before") + F.col("size") > F.col("rest"))
+    first = F.struct(*order, (F.col("rest") - F.col("size_before")).alias("words"))
+    per_source = _placed(sized, order, weights, max_epochs).groupBy("source").agg(
+        F.max("whole").alias("whole"), F.min(F.when(beyond, first)).alias("first")
     )
-    whole = staged.join(chosen.filter("_m_cut < 0"), F.col(row) == F.col("_m_row")).select(*docs.columns)
-    shortened = staged.join(chosen.filter("_m_cut > 0"), F.col(row) == F.col("_m_row"))  # at most one a source
-    shortened = shortened.withColumn(text, _head(F.col(text), F.col("_m_cut")))
+    # stored, so that its size is known when the join with the texts is planned
+    cuts = store(per_source.select(F.struct("source", "whole", "first.*").alias(cut)), "mix-cuts")
+    both = staged.join(cuts, F.col(source_col).eqNullSafe(F.col(f"{cut}.source")))
+    own = F.struct(F.col(f"{place}.key"), F.col(id_col), F.col(f"{place}.size"), F.col(f"{place}.row"))
+    before_cut = F.col(f"{cut}.row").isNotNull() & (own < F.struct(*[F.col(f"{cut}.{c}") for c in order]))
+    epochs = F.col(f"{cut}.whole") + F.when(before_cut, 1).otherwise(0)
+    times = F.when(F.col(f"{place}.size") == 0, 1).otherwise(epochs).cast("int")
+    whole = both.withColumn(cut, F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    on_cut = (F.col(f"{place}.row") == F.col(f"{cut}.row")) & (F.col(f"{cut}.words") > 0)  # at most one a source
+    shortened = both.filter(on_cut).withColumn(text_col, _head(F.col(text_col), F.col(f"{cut}.words")))
     if "n_chars" in docs.columns:
-        shortened = shortened.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+        shortened = shortened.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return whole.unionByName(shortened.select(*docs.columns))
 
 
