@@ -15,6 +15,9 @@ from tierwright.session import work_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORD = re.compile(WORD_PATTERN)
 
+# Spark's setting to drop the shuffle files of a query when it ends, rather than when the driver collects garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,11 +26,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
-    Cuts the lineage: a lost executor recomputes at most what follows the table.
+    Cuts the lineage: a lost executor recomputes at most what follows the table.  Once it is written nothing
+    needs the shuffle files behind it, and they go.
     """
-    path = work_path(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, f"llm-{label}")
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
