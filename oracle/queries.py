@@ -440,7 +440,8 @@ SQL["surrogate_key"] = with_(
 )
 SQL["surrogate_key_hash"] = with_(
     A,
-    "SELECT cast('0x' || substr(sha256(account_id), 1, 15) AS BIGINT) AS account_sk, account_id "
+    "SELECT cast(cast('0x' || substr(sha256(account_id), 1, 16) AS UBIGINT) % 9223372036854775808 "
+    "AS BIGINT) AS account_sk, account_id "
     "FROM accounts",
 )
 SQL["sk_contract"] = with_(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierwright.operators import audit, contracts, dedup, drift, flatten, integrity, profile
 from tierwright.operators import quality, reconcile
+from tierwright.operators import keys as keys_module
 from tierwright.operators.keys import _literal_array, bucket_of, dense_keys
 from tierwright.plans import contracts as C
 
@@ -94,12 +95,12 @@ def test_bucket_of(spark, n_cuts):
         assert r.b == sum(c <= r.id for c in cuts)
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1, 37, 10_000])
-def test_dense_keys_match_a_sort(spark, rows_per_bucket):
+@pytest.mark.parametrize("buckets", [None, 25, 64])
+def test_dense_keys_match_a_sort(spark, buckets):
     rng = random.Random(3)
     keys = list({f"{'aaaa' if rng.random() < 0.4 else ''}{rng.getrandbits(40):x}é'\"," for _ in range(900)})
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
-    got = dense_keys(df, "k", "sk", rows_per_bucket=rows_per_bucket, max_buckets=64)
+    got = dense_keys(df, "k", "sk", buckets=buckets)
     ordered = sorted(keys, key=lambda s: s.encode())
     assert {r.k: r.sk for r in got.collect()} == {k: i + 1 for i, k in enumerate(ordered)}
     assert got.columns == ["sk", "k"] and got.schema["sk"].dataType.simpleString() == "bigint"
@@ -107,11 +108,20 @@ def test_dense_keys_match_a_sort(spark, rows_per_bucket):
 
 def test_dense_keys_on_integers_and_nothing(spark):
     df = spark.range(500).select((F.col("id") * 7 % 1000 - 300).alias("k"))
-    got = dense_keys(df, "k", "sk", rows_per_bucket=20).collect()
+    got = dense_keys(df, "k", "sk", buckets=25).collect()
     assert [r.sk for r in sorted(got, key=lambda r: r.k)] == list(range(1, 501))
     assert dense_keys(df.where("k > 10000"), "k", "sk").count() == 0
 
 
+def test_hashed_keys_are_checked(spark, monkeypatch):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
+    got = {(r.sk, r.k) for r in keys_module.hashed_keys(df, "k", "sk").collect()}
+    assert len(got) == 3 and (None, None) in got and all(0 <= sk < 2**63 for sk, _ in got if sk is not None)
+    monkeypatch.setattr(keys_module, "hashed_key", lambda c: F.when(F.col(c).isNotNull(), F.lit(1)))
+    with pytest.raises(keys_module.KeyCollision):
+        keys_module.hashed_keys(df, "k", "sk")
+
+
 def test_dense_keys_reject_other_types(spark):
     with pytest.raises(TypeError):
         dense_keys(spark.range(3).select(F.col("id").cast("double").alias("k")), "k", "sk")

@@ -156,9 +156,10 @@ def row_hash(columns: Sequence[str], algorithm: str = "xxhash64") -> Column:
 
 
 def hashed_key(c: Column | str) -> Column:
-    """60-bit key from SHA-256: stable across engines, not guaranteed unique."""
+    """63-bit key from SHA-256: stable across engines, not guaranteed unique."""
     digest = F.sha2(_col(c).cast("string"), 256)
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    first_64_bits = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
+    return (first_64_bits % F.expr("9223372036854775808BD")).cast("bigint")
 
 
 def json_field_is_text(line: Column | str, path: str) -> Column:

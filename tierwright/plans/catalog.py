@@ -19,7 +19,7 @@ from tierwright.functions import domains as D
 from tierwright.functions import values as V
 from tierwright.functions.literals import small_frame
 from tierwright.operators import contracts, dedup, drift, integrity, profile, quality, reconcile
-from tierwright.operators.keys import dense_keys
+from tierwright.operators.keys import dense_keys, hashed_keys
 from tierwright.plans import checks, layers, star
 from tierwright.plans import contracts as C
 from tierwright.plans import quality as Q
@@ -312,7 +312,7 @@ def audit_columns(spark, sf_dir):
 
 @query
 def row_hash(spark, sf_dir):
-    """Lowest SHA-256 per id; rows count as distinct by both algorithms together."""
+    """Lowest SHA-256 per id; rows count as distinct by the default hash alone."""
     rows = shapes.transactions(spark, sf_dir)
     hashed = rows.select(
         "transaction_id",
@@ -320,7 +320,9 @@ def row_hash(spark, sf_dir):
         V.row_hash(C.TRANSACTION_COLUMNS).alias("fast"),
     )
     # equal rows fold first, so nothing is collected per id
-    folded = hashed.groupBy("transaction_id", "sha", "fast").agg(F.count(F.lit(1)).alias("n"))
+    folded = hashed.groupBy("transaction_id", "fast").agg(
+        F.min("sha").alias("sha"), F.count(F.lit(1)).alias("n")
+    )
     return folded.groupBy("transaction_id").agg(
         F.min("sha").alias("lowest_hash"),
         F.count("fast").alias("distinct_rows"),
@@ -560,8 +562,7 @@ def surrogate_key(spark, sf_dir):
 
 @query
 def surrogate_key_hash(spark, sf_dir):
-    rows = shapes.accounts(spark, sf_dir)
-    return rows.select(V.hashed_key("account_id").alias("account_sk"), "account_id")
+    return hashed_keys(shapes.accounts(spark, sf_dir).select("account_id"), "account_id", "account_sk")
 
 
 @query

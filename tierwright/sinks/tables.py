@@ -65,8 +65,8 @@ def write_table(
 
 
 def write_quarantine(df: DataFrame, path: str) -> str:
-    """Diverted rows under ``source=…/reason=…`` folders."""
-    return write_table(df, path, mode="append", partition_by=("source", "reason"))
+    """Diverted rows of one batch under ``source=…/reason=…`` folders; writing it again replaces them."""
+    return write_table(df, path, partition_by=("source", "reason"))
 
 
 def write_report(report: DataFrame, path: str) -> str:
