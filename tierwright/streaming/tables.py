@@ -105,8 +105,8 @@ class StreamTables:
         bases = versions(self.spark, f"{self.root}/{base}", "upto")
         bases = [b for b in bases if limit is None or b < limit]
         floor = bases[-1] if bases else ""
-        batches = versions(self.spark, f"{self.root}/{increments}", "batch")
-        batches = [b for b in batches if b > floor and (limit is None or b < limit)]
+        batches = versions(self.spark, f"{self.root}/{increments}", "batch", after=floor)
+        batches = [b for b in batches if limit is None or b < limit]
         return (
             [f"{self.root}/{base}/upto={floor}"] if floor else [],
             [f"{self.root}/{increments}/batch={b}" for b in batches],
@@ -171,7 +171,8 @@ class StreamTables:
     def compact(self, batch_id: int) -> None:
         """Merge everything up to ``batch_id`` into new bases.
 
-        Increments below the previous base are no longer read by anyone and go.
+        Increments below the previous base are no longer read by anyone and go, and so do
+        all but the last two bases.  Ledger and unusable rows are the record and stay.
         """
         merges = (
             ("ledger_ids", ID_SCHEMA, self._merge_ids),
@@ -183,19 +184,19 @@ class StreamTables:
             # input of the merge below, so it must not be overwritten
             if f"{batch_id:012d}" not in versions(self.spark, f"{self.root}/{table}", "upto"):
                 self._write(merge(before=batch_id + 1), schema, self._base(table, batch_id))
-        for table in ("balances", "recent"):
-            self._expire(table)
-
-    def _expire(self, table: str) -> None:
-        bases = versions(self.spark, f"{self.root}/{table}", "upto")
-        if len(bases) < 2:
-            return
-        previous = bases[-2]
-        for batch in versions(self.spark, f"{self.root}/{table}", "batch"):
-            if batch <= previous:
-                remove(self.spark, f"{self.root}/{table}/batch={batch}")
-        for base in bases[:-2]:
-            remove(self.spark, f"{self.root}/{table}/upto={base}")
+        bases = {table: versions(self.spark, f"{self.root}/{table}", "upto") for table, _, _ in merges}
+        for base, increments in (("ledger_ids", "arrived"), ("balances", "balances"), ("recent", "recent")):
+            if len(bases[base]) > 1:
+                self._expire(increments, "batch", bases[base][-2])
+        for table, known in bases.items():
+            if len(known) > 2:
+                self._expire(table, "upto", known[-3])
+
+    def _expire(self, table: str, key: str, last: str) -> None:
+        """Remove the folders up to and including ``last``."""
+        for version in versions(self.spark, f"{self.root}/{table}", key):
+            if version <= last:
+                remove(self.spark, f"{self.root}/{table}/{key}={version}")
 
     # read side
 
