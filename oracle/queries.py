@@ -683,7 +683,7 @@ SQL["stream_orphans"] = with_(
 WHERE account_id NOT IN (SELECT account_id FROM stream_accounts)""",
 )
 SQL["stream_sla"] = with_(
-    f"{S.EVENTS}, {_ARRIVED}",
+    S.EVENTS,
     """SELECT CASE WHEN 10 * k <= 300 THEN 'full' WHEN 10 * k <= 600 THEN 'partial' ELSE 'none' END
-  AS tier, count(*) AS row_count FROM arrived GROUP BY 1""",
+  AS tier, count(*) AS row_count FROM stream_events GROUP BY 1""",
 )

@@ -964,16 +964,16 @@ def stream_orphans(spark, sf_dir):
 
 @query
 def stream_sla(spark, sf_dir):
-    """Freshness of streamed rows, each written ``10 * k`` seconds after its event."""
-    out = work_path(spark, "sla")
+    """Freshness of the stream tables' own rows; the clock of each is ``10 * k`` seconds after its event."""
+    root = work_path(spark, "sla")
     schema = T.StructType(TRANSACTION_JSON.fields + [T.StructField("k", T.StringType())])
     raw = read_stream(spark, event_lines(spark, sf_dir), schema, files_per_batch=2)
     delay = F.make_dt_interval(secs=F.col("k").cast("decimal(18,6)") * 10)
-    event_time = V.combine_timestamp("parsed", "transaction_time")
-    rows = raw.withColumn("parsed", V.parse_date("transaction_date")).select(
-        "transaction_id",
-        event_time.cast("timestamp").alias("transaction_timestamp"),
-        (event_time.cast("timestamp") + delay).alias("updated_at"),
-    )
-    run_available(rows.writeStream.format("parquet").option("path", out), f"{out}-checkpoint")
-    return freshness_report(scan_table(spark, out)).withColumnRenamed("rows", "row_count")
+    accounts = stored(stream_accounts(spark, sf_dir), "sla-accounts")
+    tables = StreamTables(spark, root, accounts, updated_at=F.col("transaction_timestamp") + delay)
+
+    def apply(batch, batch_id):
+        tables.apply(ledger_rows(batch, keep=["k"]), batch_id)
+
+    run_available(raw.writeStream.foreachBatch(apply), f"{root}/_checkpoint")
+    return freshness_report(tables.ledger()).withColumnRenamed("rows", "row_count")

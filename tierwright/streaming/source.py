@@ -30,11 +30,13 @@ def read_stream(
     return reader.json(path)
 
 
-def ledger_rows(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+def ledger_rows(
+    raw: DataFrame, formats: Sequence[str] = DATE_FORMATS, keep: Sequence[str] = ()
+) -> DataFrame:
     """Raw transactions as rows for :class:`tierwright.streaming.tables.StreamTables`.
 
     A value that cannot be parsed becomes NULL, which keeps the row out of the
-    tables but not out of the quarantine.
+    tables but not out of the quarantine.  The columns ``keep`` go along.
     """
     event_time = combine_timestamp("parsed_date", "transaction_time").cast("timestamp")
     return raw.withColumn("parsed_date", parse_date("transaction_date", formats)).select(
@@ -44,6 +46,7 @@ def ledger_rows(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFr
         money("amount", strict=False).alias("amount"),
         "transaction_type",
         "channel",
+        *keep,
     )
 
 
