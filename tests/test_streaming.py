@@ -93,17 +93,17 @@ def test_storage_of_a_batch_does_not_grow_with_history(spark, accounts, folder,
     from tierwright.sources import folders
 
     tables = StreamTables(spark, folder(), accounts, keep=3, compact_every=2)
-    rows, looked = events(32, seed=4), []
+    rows, looked = events(48, seed=4), []
     real = folders.exists
     monkeypatch.setattr(folders, "exists", lambda *a: looked.append(0) or real(*a))
-    for i in range(8):
+    for i in range(12):
         tables.apply(spark.createDataFrame(rows[4 * i : 4 * i + 4], BATCH_SCHEMA), i)
         looked.append(1)
     counts = [len(part) for part in "".join(map(str, looked)).split("1")[:-1]]
-    assert counts[-2:] == counts[-4:-2]
+    assert counts[-2:] == counts[-4:-2] == counts[-6:-4]
     assert len(versions(spark, f"{tables.root}/ledger_ids", "upto")) == 2
     for table in ("arrived", "balances", "recent"):
-        assert versions(spark, f"{tables.root}/{table}", "batch") == ["000000000006", "000000000007"]
+        assert versions(spark, f"{tables.root}/{table}", "batch") == ["000000000010", "000000000011"]
     check(tables, rows, 3)
 
 
