@@ -146,3 +146,14 @@ def test_decoding_finds_every_exceeding_filter():
         total = (total[:, :, None] + s[:, None, :]).reshape(len(x), -1)
     for k, found in enumerate(code.decode(x)):
         assert set(np.flatnonzero(total[k] >= code.threshold)) <= set(found.tolist())
+
+
+@pytest.mark.parametrize("points", [10_000, 1_000_000])
+def test_recall_does_not_fall_as_the_table_grows(points):
+    x, y = spherical.made_pairs(np.random.default_rng(9), 3_000, 64, spherical.COSINE)
+    codes = spherical.product_codes(64, points, spherical.codes_needed(64, points, spherical.COSINE))
+    missed = 0
+    for at in range(0, len(x), 200):
+        a, b = (spherical.decode_all(codes, v[at : at + 200]) for v in (x, y))
+        missed += sum(not set(p.tolist()) & set(q.tolist()) for p, q in zip(a, b, strict=True))
+    assert missed <= 0.002 * len(x)

@@ -21,6 +21,8 @@ AT_LEAST = 12  # best filters taken where fewer are exceeded
 LOOSE = 12  # how many times more filters are decoded to find those
 LIST_BLOCK = 2_000  # longer lists are compared in blocks
 SEED = 20
+MISSED = 0.001  # share of pairs at the least cosine that may share no filter, whatever the number of vectors
+TRIAL_PAIRS = 2_000  # made pairs from which the number of codes follows
 
 
 @dataclass
@@ -84,10 +86,56 @@ class ProductCode:
         return [np.sort(name[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
+def product_codes(dimensions: int, points: int, number: int) -> list[ProductCode]:
+    return [ProductCode.build(dimensions, points, SEED + k) for k in range(number)]
+
+
+def decode_all(codes: list[ProductCode], vectors: np.ndarray) -> list[np.ndarray]:
+    """Sorted filters of each vector over independent codes, numbered apart."""
+    each = [code.decode(vectors) for code in codes]
+    shift = codes[0].parts[0].shape[1] ** len(codes[0].parts)
+    return [np.concatenate([f + k * shift for k, f in enumerate(lists)]) for lists in zip(*each, strict=True)]
+
+
+def made_pairs(rng: np.random.Generator, n: int, dimensions: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and partners at exactly that cosine."""
+    x, z = rng.standard_normal((2, n, dimensions))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, cosine * x + np.sqrt(1 - cosine**2) * z
+
+
+def codes_needed(dimensions: int, points: int, least: float) -> int:
+    """Independent codes by which at most ``MISSED`` of the pairs at cosine ``least`` share no filter.
+
+    The filters grow with the points, so one code misses more pairs of a larger table.  A code is rotated
+    at random: its misses on made pairs are those on any pairs of that cosine, and independent codes
+    multiply them.
+    """
+    if dimensions == 1 or least >= 1:
+        return 1
+    code = ProductCode.build(dimensions, points)
+    rng = np.random.default_rng([SEED, dimensions, TRIAL_PAIRS])
+    missed = 0
+    for at in range(0, TRIAL_PAIRS, 200):
+        x, y = made_pairs(rng, min(200, TRIAL_PAIRS - at), dimensions, least)
+        missed += sum(not np.isin(a, b).any() for a, b in zip(code.decode(x), code.decode(y), strict=True))
+    share = (missed + 2 * np.sqrt(missed) + 2) / TRIAL_PAIRS  # an upper limit, for the trial is small
+    if share > 0.9:
+        raise ValueError(f"filters do not find pairs at a cosine of {least} among {points} vectors")
+    return int(np.ceil(np.log(MISSED) / np.log(share)))
+
+
 def as_vectors(column: pd.Series, dimensions: int) -> np.ndarray:
     return np.asarray(np.vstack(column.tolist()), dtype="float64").reshape(-1, dimensions)
 
 
+def directed(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def usable(embedding: str) -> str:
     """SQL: whether a vector has a direction."""
     return (
@@ -97,28 +145,30 @@ def usable(embedding: str) -> str:
     )
 
 
-def decoded(points: DataFrame) -> DataFrame:
+def decoded(points: DataFrame, least: float) -> DataFrame:
     """``points`` (node, copies, embedding) with their filters; vectors of another length have other filters."""
     sizes = {r["d"]: r["n"] for r in points.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).collect()}
+    numbers = {d: codes_needed(d, n, least) for d, n in sizes.items() if n > 1}
+
+    # components travel as they are, half as wide as the double-precision directions made of them
+    kept = "float32" if points.schema["embedding"].dataType.elementType.typeName() == "float" else "float64"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes: dict[int, ProductCode] = {}
+        codes: dict[int, list[ProductCode]] = {}
         for batch in batches:
             lengths = batch["embedding"].map(len).to_numpy()
             for d in np.unique(lengths):
                 d = int(d)
                 if d not in codes:
-                    codes[d] = ProductCode.build(d, sizes[d])
+                    codes[d] = product_codes(d, sizes[d], numbers.get(d, 1))
                 for at in range(0, int((lengths == d).sum()), 1_000):
                     part = batch[lengths == d].iloc[at : at + 1_000]
                     x = as_vectors(part["embedding"], d)
-                    scale = np.abs(x).max(axis=1, keepdims=True)
-                    x = x / scale
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    yield pd.DataFrame({"node": part["node"], "copies": part["copies"], "d": d, "x": [v.tobytes() for v in x], "filters": code_lists(codes[d], x)})
+                    sent = [v.tobytes() for v in x.astype(kept)]
+                    yield pd.DataFrame({"node": part["node"], "copies": part["copies"], "d": d, "x": sent, "filters": code_lists(codes[d], directed(x))})
 
-    def code_lists(code: ProductCode, x: np.ndarray) -> list[list[int]]:
-        return [f.tolist() for f in code.decode(x)]
+    def code_lists(codes: list[ProductCode], x: np.ndarray) -> list[list[int]]:
+        return [f.tolist() for f in decode_all(codes, x)]
 
     return points.mapInPandas(run, "node long, copies long, d int, x binary, filters array<long>")
 
@@ -148,7 +198,8 @@ def _earlier(filters: list[np.ndarray], at: int, i: np.ndarray, j: np.ndarray) -
 
 def compare_list(members: pd.DataFrame, at: int, first: int, second: int, least: float) -> tuple[np.ndarray, ...]:
     """Links of one list or pair of its blocks: (node, linked copies) and a forest."""
-    x = np.frombuffer(b"".join(members["x"]), dtype="float64").reshape(len(members), -1)
+    width = len(members["x"].iloc[0]) // int(members["d"].iloc[0])
+    x = directed(np.frombuffer(b"".join(members["x"]), dtype=f"f{width}").astype("float64").reshape(len(members), -1))
     node, copies = members["node"].to_numpy(), members["copies"].to_numpy()
     i, j = np.nonzero(np.triu(x @ x.T >= least, 1))
     if first != second:
@@ -165,14 +216,15 @@ def compare_list(members: pd.DataFrame, at: int, first: int, second: int, least:
 
 def links_of(points: DataFrame, least: float) -> DataFrame:
     """Rows (kind, a, b): 'count' node and copies linked to it; 'link' an edge of a forest of links."""
-    stored = store(decoded(points), "caps-filters")
+    stored = store(decoded(points, least), "caps-filters")
     n = partitions(stored.sparkSession)
     long = stored.select("d", F.explode("filters").alias("f")).groupBy("d", "f").count().filter(F.col("count") > LIST_BLOCK)
     long = long.select(F.col("d").alias("ld"), F.col("f").alias("lf"), F.ceil(F.col("count") / LIST_BLOCK).cast("int").alias("blocks"))
+    long = store(long, "caps-long")  # its size is known then, and where it is small the points are not shuffled for it
     filed = stored.select("*", F.explode("filters").alias("f"))
     filed = filed.join(long, (F.col("d") == F.col("ld")) & (F.col("f") == F.col("lf")), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     filed = filed.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    filed = filed.select("d", "f", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "x", "filters")
+    filed = filed.select("d", "f", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "x", F.expr("filter(filters, g -> g < f)").alias("filters"))
     lists = filed.repartition(n, "d", "f", "i", "j").sortWithinPartitions("d", "f", "i", "j")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,11 +275,12 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, id_col: str = "ve
     """vec_id, n_links, component_id, kept of every row.
 
     Two vectors link when their cosine, in double precision, is at least ``least``.  Equal vectors are one
-    point with copies from the start.  Points are filed under all filter directions of a structured random
-    product code that they exceed (their best dozen at least), points of one filter are compared in full, and
-    a pair is counted under the first filter it shares.  A list longer than ``LIST_BLOCK`` is compared block
+    point with copies from the start.  Points are filed under all filter directions of structured random
+    product codes that they exceed (their best dozen of each at least), points of one filter are compared in
+    full, and a pair is counted under the first filter it shares.  A list longer than ``LIST_BLOCK`` is compared block
     by block; counts and forests of links leave a task, never pairs.  A pair that shares no filter is missed:
-    near the threshold about one in two hundred by measurement, well above it hardly any.
+    at the threshold at most one in a thousand is expected to be (``MISSED``), for any number of vectors, since
+    the number of codes follows from made pairs; well above it hardly any.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
     vectors of different length.  Repeated rows are rows: they link to each other.  A null id counts as a row
