@@ -75,6 +75,18 @@ def test_widely_copied_values_are_not_live(spark):
     assert own not in out[99].text and out[99].n_chars == len(out[99].text) and out[100].text is None
 
 
+def test_a_key_in_many_texts_of_one_owner_is_live(spark):
+    own = hashlib.sha256(b"many").hexdigest()[:32]
+    rows = [(i, f"my token = {own} number {i}", "owner1", 0) for i in range(45)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    assert not any(own in r.text for r in secret_scan.redact(docs).collect())
+
+
+@pytest.mark.parametrize("value", ["sk-aB3dE5gH7jK9mN1p", "eyJaB3dE5gH7jK9mN1p"])
+def test_prefixed_tokens_of_19_characters(value):
+    assert [c[:3] for c in secret_scan.candidates(f"x {value} y")] == [("prefixed", 2, 21)]
+
+
 def corpus(n):
     rng = random.Random(4)
     stems = {"aa": ["lor", "em", "ip", "sum"], "bb": ["zwi", "kra", "ont", "ube"], "cc": ["ñad", "éle", "que", "ina"]}

@@ -25,9 +25,8 @@ PREFIXED = re.compile(r"(?:gh[opsur]_|github_pat_|glpat-|sk-|xox[abprs]-|npm_|AI
 OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 KINDS = ("assign", "access", "hex", "prefixed", "opaque")
 BASE_KINDS = KINDS[:3]
-# A value in at most so many owners' texts, and in no more repositories, is owner-specific.
+# A value in at most so many owners' texts is owner-specific, in however many of their texts it is.
 MAX_OWNERS = 2
-MAX_REPOSITORIES = 20
 MIN_BITS = 3.5
 
 CANDIDATES = "array<struct<kind: string, first: long, last: long, value_hash: string, live_form: boolean>>"
@@ -59,8 +58,8 @@ def candidates(text: str | None) -> list[tuple[str, int, int, str, bool]]:
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= 6:
                 add("assign", m, m[2], len(set(m[2])) > 4)
-    # every other kind needs 20 characters without white space
-    if max(map(len, text.split()), default=0) < 20:
+    # every other kind needs 19 characters without white space
+    if max(map(len, text.split()), default=0) < 19:
         return found
     for m in ACCESS.finditer(text):
         if len(m[0]) >= 20:
@@ -114,7 +113,7 @@ def exploded(staged: DataFrame, column: str) -> DataFrame:
 
 def judge(spans: DataFrame) -> DataFrame:
     """Each span with the ownership of its value and whether it is live."""
-    few = (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repositories") <= MAX_REPOSITORIES)
+    few = F.col("n_owners") <= MAX_OWNERS
     return spans.join(ownership(spans), "value_hash").select(
         "row", "kind", "first", "last", "n_owners", "n_repositories", "n_copies", (F.col("live_form") & few).alias("live")
     )
@@ -132,8 +131,8 @@ def scan_secrets(
 
     Returns ``docs`` (or its columns ``keep``) stored with a row number and candidate spans, the judged spans (row number, kind,
     first, last, n_owners, n_repositories, n_copies, live), and the name of the added struct column with
-    ``row`` and ``found``.  A candidate is *live* if it looks random and few owners and repositories share
-    it; widely copied values (examples of documentation, checksums of common files) are not.  By default
+    ``row`` and ``found``.  A candidate is *live* if it looks random and few owners share it,
+    in however many repositories; widely copied values (examples of documentation, checksums of common files) are not.  By default
     the owner is the column ``source`` and the repository the distinct text itself, so that exact copies
     of a document count once.  Null or empty texts have no candidates; repeated rows keep a row each.
     """
