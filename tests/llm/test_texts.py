@@ -48,6 +48,33 @@ def test_compression_bands():
     assert len(noise) > 0
 
 
+@pytest.mark.parametrize(
+    ("letters", "sizes"),
+    [
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (450, 500, 1000, 1500, 10_000)),
+        ("".join(map(chr, range(33, 127))), (450, 500, 1000, 1500, 10_000)),
+        ("abcdefghijklmnopqrstuvwxyz", (3000, 10_000)),
+        ("0123456789abcdef", (10_000,)),
+    ],
+)
+def test_noise_is_rejected(letters, sizes):
+    import zstandard
+
+    rng, z = random.Random(7), zstandard.ZstdCompressor(level=3)
+    for size in sizes:
+        text = " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(size))[:size]
+        assert not quality.compression(text, z)[2], size
+
+
+def test_a_noisy_rest_counts():
+    import zstandard
+
+    rng, z = random.Random(8), zstandard.ZstdCompressor(level=3)
+    prose = " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(900))[:2048]
+    noise = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1900))
+    assert quality.compression(prose, z)[1] == 0 and quality.compression(prose + noise, z)[1] > quality.BAD_CHUNKS
+
+
 def test_secrets_against_plain_patterns(spark):
     rng = random.Random(3)
     parts = ["password", "Token", "API_KEY", "secret", ": ", "=", " ", '"', "AKIA" + "Q7" * 8, "AKIAQ", "0a1b2c3d" * 3, "0a1b2c3d" * 2, "abcde", "abcdefg", "ſecret", "\n", "é"]

@@ -14,9 +14,12 @@ from .common import WORD, free_name, read_table
 
 # (bytes from, least ratio, largest ratio) of whole documents, and of their chunks.  Short texts compress
 # less: the frame and the first occurrence of everything weigh more.
-BANDS = ((0, 1.05, 3.0), (512, 1.15, 3.2), (2048, 1.4, 3.6), (8192, 1.5, 4.2), (65536, 1.5, 5.0))
+# Lower limits lie between base64 noise and clean text, from 2,048 bytes also above random letters, from 8,192
+# above random hex; below that clean text compresses no better than those.
+BANDS = ((0, 1.25, 3.0), (512, 1.33, 3.2), (1024, 1.4, 3.2), (2048, 1.75, 3.6), (8192, 1.95, 4.2), (65536, 2.0, 5.0))
 CHUNK_BYTES = 2048
-CHUNK_BAND = (1.2, 3.6)
+CHUNK_BAND = (1.4, 3.6)
+REST_BYTES = 512  # a shorter rest of a chunked text is too small a share of it to decide
 BAD_CHUNKS = 0.3
 SYMBOLS = "#*$%&|<>"
 # White space to str.split that is no word border here.
@@ -58,17 +61,22 @@ def repeated_words(words: Sequence[str]) -> int:
     return int(covered.sum())
 
 
+def chunk_limit(n: int) -> float:
+    return CHUNK_BAND[0] if n == CHUNK_BYTES else [b for b in BANDS if n >= b[0]][-1][1]
+
+
 def compression(text: str, compressor) -> tuple[float, float, bool]:
-    """Whole ratio, share of chunks outside their band, and whether the document stays in its bands."""
+    """Whole ratio, share of chunked bytes outside their band, and whether the document stays in its bands."""
     data = text.encode("utf-8", "surrogatepass")
     if not data:
         return 1.0, 0.0, True
     ratio = len(data) / len(compressor.compress(data))
     _, low, high = [b for b in BANDS if len(data) >= b[0]][-1]
     chunks = [data[k : k + CHUNK_BYTES] for k in range(0, len(data), CHUNK_BYTES)]
-    full = [c for c in chunks if len(c) == CHUNK_BYTES]  # a rest has another scale, the whole ratio covers it
-    bad = sum(not CHUNK_BAND[0] <= CHUNK_BYTES / len(compressor.compress(c)) <= CHUNK_BAND[1] for c in full)
-    share = bad / len(full) if full else 0.0
+    # a text of less than a chunk is judged whole; a rest has a lower limit for its own length
+    judged = [c for c in chunks if len(c) == CHUNK_BYTES or len(data) > CHUNK_BYTES and len(c) >= REST_BYTES]
+    bad = sum(len(c) for c in judged if not chunk_limit(len(c)) <= len(c) / len(compressor.compress(c)) <= CHUNK_BAND[1])
+    share = bad / sum(map(len, judged)) if judged else 0.0
     return ratio, share, low <= ratio <= high and share <= BAD_CHUNKS
 
 
