@@ -65,3 +65,17 @@ def test_every_id_lies_in_one_piece(spark, reference_ids):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA), default_tokenizer()).count() == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    rng = random.Random(6)
+    parts = ["<|endoftext|>", "a", " ", "  ", "\n", "\n\n", "'s", "é", "<|", "3", "endoftext"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(1000))]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in pack_documents(docs, default_tokenizer()).collect()}
+    for i, text in enumerate(texts):
+        ids = np.asarray([*tokenizer.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), repr(text)
