@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP8_SQL, op8_chat_windows
+from .exact_dedup import OP13_SQL, op13_stream_dedup
 from .language import op2_cross_parse
 from .mixing import OP10_SQL, op10_source_mix
 from .ngram_join import OP7_SQL, op7_ngram_join
 from .packing import op6_pack
+from .periodic_runs import op12_period_tiles
 from .quality import op3_compression_bands
 from .secret_scan import op4_ownership
 from .sharding import op5_byte_shards
 from .spherical import OP1_SQL, op1_spherical_caps
 from .toxicity import op9_lexicon
+from .turn_repair import OP11_SQL, op11_turn_repair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spherical_caps": op1_spherical_caps,
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_lexicon": op9_lexicon,
     "op10_source_mix": op10_source_mix,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_period_tiles": op12_period_tiles,
+    "op13_stream_dedup": op13_stream_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +41,6 @@ SQL: dict[str, str] = {
     "op7_ngram_join": OP7_SQL,
     "op8_chat_windows": OP8_SQL,
     "op10_source_mix": OP10_SQL,
+    "op11_turn_repair": OP11_SQL,
+    "op13_stream_dedup": OP13_SQL,
 }
