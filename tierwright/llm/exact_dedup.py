@@ -19,6 +19,8 @@ from .common import store
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 # A digest that many rows share meets its comparison in this many tasks.
 SALTS = 16
+# Input bytes for one state store, whose entries take some tenth of them; each has fixed costs of its own.
+BYTES_PER_STORE = 4 << 30
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
@@ -56,22 +58,30 @@ def _keeper() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
 
 
+def _stores(spark: SparkSession, path: str) -> int:
+    """State stores for the files under ``path``: a stream keeps the number that it starts with."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_STORE))
+
+
 def follow(
     spark: SparkSession,
     path: str,
     checkpoint: str,
     digest: Callable[[Column], Column] = sha256_of,
     files_per_batch: int | None = None,
+    stores: int | None = None,
 ) -> DataFrame:
     """Take in the files under ``path`` that ``checkpoint`` has not seen; the state: digest, keep, copies.
 
     Calling it again after more files have arrived reads those alone.  Rows are aggregated within each task
     before they are shuffled, so a text that many rows hold is a row a task.  A batch that fails is run again
-    by the stream from its last committed state.
+    by the stream from its last committed state.  ``stores`` is the number of parts of the state, by default
+    as the files' bytes ask; plan for the corpus to come, as it holds as long as the checkpoint.
     """
     session = spark.newSession()
-    kept = "spark.sql.shuffle.partitions"
-    for key, value in {**STREAM_SETTINGS, kept: spark.conf.get(kept)}.items():
+    parts = str(stores or _stores(spark, path))
+    for key, value in {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": parts}.items():
         session.conf.set(key, value)
     schema = spark.read.parquet(path).select("doc_id", "text").schema
     reader = session.readStream.schema(schema)
