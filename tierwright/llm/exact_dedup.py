@@ -26,6 +26,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # a batch uploads what it changed, not the whole state
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # batches are few and large: a task gives its store's local disk and memory back when it ends
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     # memory of all stores of an executor together
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
