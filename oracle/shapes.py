@@ -41,12 +41,14 @@ def stamp(date: str, time: str) -> str:
 BORN = "(DATE '1940-01-01' + cast(c_custkey * 17 % 25000 AS INT))"
 _PROVINCE = pick(D.PROVINCES, "c_nationkey % 9")
 
+_GENDER = pick(D.GENDERS, "c_custkey % 4")
+
 CUSTOMERS = f"""customers AS (
   SELECT cast(c_custkey AS VARCHAR) AS customer_id,
     '**********' || lpad(cast(c_custkey % 10000 AS VARCHAR), 4, '0') AS id_number,
     n_name AS first_name, c_name AS last_name,
     {date_text(BORN, "c_custkey % 11 = 3", "c_custkey % 11 = 7")} AS dob,
-    {pick(D.GENDERS, "c_custkey % 4")} AS gender,
+    {_GENDER} AS gender,
     CASE WHEN {_PROVINCE} = 'KwaZulu-Natal' AND c_custkey % 4 = 0 THEN ' kzn'
          WHEN {_PROVINCE} = 'Western Cape' AND c_custkey % 4 = 1 THEN 'WC'
          WHEN {_PROVINCE} = 'Gauteng' AND c_custkey % 4 = 2 THEN 'GAUTENG '
@@ -61,17 +63,25 @@ CUSTOMERS = f"""customers AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 
-def accounts(dirty: bool = False, name: str = "accounts") -> str:
+BROKEN_CUSTOMERS = CUSTOMERS.replace(
+    f"{_GENDER} AS gender", f"CASE WHEN c_custkey % 53 = 7 THEN '?' ELSE {_GENDER} END AS gender"
+)
+
+
+def accounts(dirty: bool = False, name: str = "accounts", broken: bool = False) -> str:
     account_id = "cast(o_orderkey AS VARCHAR)"
     customer = "cast(o_custkey AS VARCHAR)"
     if dirty:
         account_id = f"CASE WHEN o_orderkey % 200 <> 9 THEN {account_id} END"
         customer = f"CASE WHEN o_orderkey % 71 = 5 THEN 'N' || {customer} ELSE {customer} END"
+    status = pick(D.ACCOUNT_STATUSES, "o_orderkey % 4")
+    if broken:
+        status = f"CASE WHEN o_orderkey % 59 = 3 THEN 'FROZEN' ELSE {status} END"
     price = "cast(cast(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
     return f"""{name} AS (
   SELECT {account_id} AS account_id, {customer} AS customer_ref,
     {pick(D.ACCOUNT_TYPES, "o_orderkey % 3")} AS account_type,
-    {pick(D.ACCOUNT_STATUSES, "o_orderkey % 4")} AS account_status,
+    {status} AS account_status,
     {date_text("o_orderdate", "o_orderkey % 7 = 2", "o_orderkey % 7 = 5")} AS open_date,
     {pick(D.PRODUCT_TIERS, "cast(substr(o_orderpriority, 1, 1) AS INT) % 3")} AS product_tier,
     CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '+27' || lpad({customer}, 9, '0') END
@@ -84,7 +94,7 @@ def accounts(dirty: bool = False, name: str = "accounts") -> str:
   FROM orders)"""
 
 
-def transactions(dirty: bool = False, name: str = "transactions") -> str:
+def transactions(dirty: bool = False, name: str = "transactions", broken: bool = False) -> str:
     account_id = "cast(l_orderkey AS VARCHAR)"
     date = date_text("l_shipdate", "l_partkey % 10 = 0", "l_partkey % 10 = 1")
     amount = "cast(cast(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)"
@@ -93,24 +103,35 @@ def transactions(dirty: bool = False, name: str = "transactions") -> str:
         date = f"CASE WHEN l_partkey % 97 = 5 THEN 'unknown' ELSE {date} END"
         amount = f"CASE WHEN l_partkey % 89 = 3 THEN 'n/a' ELSE {amount} END"
     currencies = ("R", "rands", "710", "zar", " ZAR ", "XXX", "ZAR", "ZAR", "ZAR", "ZAR")
+    currency = pick(currencies, "l_suppkey % 10")
+    kind, channel = pick(D.TRANSACTION_TYPES, "l_linenumber % 4"), pick(D.CHANNELS, "l_partkey % 6")
+    province, session, retry = pick(D.PROVINCES, "l_suppkey % 9"), "'sess-' || l_suppkey", "l_partkey % 50 = 0"
+    clock = """lpad(cast(l_suppkey % 24 AS VARCHAR), 2, '0') || ':' ||
+      lpad(cast(l_partkey % 60 AS VARCHAR), 2, '0') || ':' ||
+      lpad(cast(l_linenumber * 7 % 60 AS VARCHAR), 2, '0')"""
+    if broken:
+        currency = f"CASE WHEN l_partkey % 4 = 0 THEN {currency} ELSE 'ZAR' END"
+        clock = f"CASE WHEN l_partkey % 103 = 2 THEN '9am' ELSE {clock} END"
+        kind = f"CASE WHEN l_partkey % 107 = 3 THEN 'GIFT' ELSE {kind} END"
+        channel = f"CASE WHEN l_partkey % 101 <> 1 THEN {channel} END"
+        province = f"CASE WHEN l_partkey % 109 = 4 THEN 'Atlantis' ELSE {province} END"
+        session, retry = (f"CASE WHEN l_partkey % 113 <> 5 THEN {c} END" for c in (session, retry))
     return f"""{name} AS (
   SELECT l_orderkey || '-' || l_linenumber AS transaction_id,
     {account_id} AS account_id, {date} AS transaction_date,
-    lpad(cast(l_suppkey % 24 AS VARCHAR), 2, '0') || ':' ||
-      lpad(cast(l_partkey % 60 AS VARCHAR), 2, '0') || ':' ||
-      lpad(cast(l_linenumber * 7 % 60 AS VARCHAR), 2, '0') AS transaction_time,
-    {pick(D.TRANSACTION_TYPES, "l_linenumber % 4")} AS transaction_type,
+    {clock} AS transaction_time,
+    {kind} AS transaction_type,
     CASE WHEN l_partkey % 9 <> 0 THEN {pick(D.MERCHANT_CATEGORIES, "l_suppkey % 20")} END
       AS merchant_category,
     cast(NULL AS VARCHAR) AS merchant_subcategory, {amount} AS amount,
-    {pick(currencies, "l_suppkey % 10")} AS currency,
-    {pick(D.CHANNELS, "l_partkey % 6")} AS channel,
-    {pick(D.PROVINCES, "l_suppkey % 9")} AS location_province,
+    {currency} AS currency,
+    {channel} AS channel,
+    {province} AS location_province,
     cast(NULL AS VARCHAR) AS location_city,
     CASE WHEN l_partkey % 5 <> 0 THEN '-26.1,' || l_suppkey END AS location_coordinates,
     cast(NULL AS VARCHAR) AS metadata_device_id,
-    'sess-' || l_suppkey AS metadata_session_id,
-    l_partkey % 50 = 0 AS metadata_retry_flag
+    {session} AS metadata_session_id,
+    {retry} AS metadata_retry_flag
   FROM lineitem)"""
 
 
@@ -123,7 +144,7 @@ def hashed(columns, of: str, name: str) -> str:
     )
 
 
-AMOUNT_AS_TEXT = "cast(substr(transaction_time, 4, 2) AS INT) % 12 = 3"
+AMOUNT_AS_TEXT = "coalesce(TRY_CAST(substr(transaction_time, 4, 2) AS INT) % 12 = 3, FALSE)"
 
 EVENTS = """stream_events AS (
   SELECT cast(event_id AS VARCHAR) AS transaction_id, cast(user_id AS VARCHAR) AS account_id,

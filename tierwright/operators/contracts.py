@@ -96,6 +96,28 @@ def _rule_tests(contract: Contract, present: Iterable[str]) -> dict[tuple[str, s
     return tests
 
 
+def breach_list(parts: Iterable[tuple[Contract, Mapping[str, Column]]]) -> Column:
+    """The null and domain rules that a row breaks: an array of ``column:rule``, each once.
+
+    Each contract comes with the values that its columns will have; columns that get theirs later (keys, say)
+    are left out.  One expression over one row: a contract then holds, or says for which rows it does not,
+    before anything is written.
+    """
+    marks: dict[str, Column] = {}
+    for contract, values in parts:
+        for rule in contract.columns:
+            value = values.get(rule.name)
+            if value is None:
+                continue
+            if not rule.nullable:
+                marks.setdefault(f"{rule.name}:not_null", value.isNull())
+            if rule.domain:
+                outside = F.coalesce(~value.isin(*rule.domain), F.lit(False))
+                marks.setdefault(f"{rule.name}:domain", outside)
+    listed = [F.when(broken, F.lit(label)) for label, broken in marks.items()]
+    return F.array_compact(F.array(*listed)) if listed else F.array().cast("array<string>")
+
+
 def breaching_rows(contract: Contract, present: Iterable[str]) -> Column:
     """How many rows break a null or domain rule: one counter, cheap to keep."""
     tests = _rule_tests(contract, present).values()

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from tierwright.plans import checks, layers, star
 from tierwright.plans import contracts as C
 from tierwright.plans import quality as Q
 from tierwright.plans.quality_run import run_with_rules
+from tierwright.plans.settings import Settings
 from tierwright.plans.typed import typed_accounts, typed_customers, typed_transactions
 from tierwright.session import pin_utc, run_together, work_path
 from tierwright.sinks.tables import (
@@ -135,14 +135,14 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return once(spark, sf_dir, "star", build)
 
 
-def json_lines(spark, sf_dir, extra_key=False, dirty=False) -> str:
+def json_lines(spark, sf_dir, extra_key=False, dirty=False, broken=False) -> str:
     def build():
-        rows = shapes.transactions(spark, sf_dir, dirty)
+        rows = shapes.transactions(spark, sf_dir, dirty, broken)
         path = work_path(spark, "lines")
         shapes.transaction_lines(rows, extra_key).write.text(path)
         return path
 
-    return once(spark, sf_dir, f"lines-{extra_key}-{dirty}", build)
+    return once(spark, sf_dir, f"lines-{extra_key}-{dirty}-{broken}", build)
 
 
 def marked_transactions(spark, sf_dir) -> DataFrame:
@@ -649,16 +649,19 @@ def _run_identity() -> dict:
     return {"batch_id": BATCH_ID, "ingested_at": INGESTED_AT}
 
 
-def write_inputs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> layers.Inputs:
-    """Source files of the shapes, with canonical province names."""
+def write_inputs(
+    spark: SparkSession, sf_dir: str, dirty: bool = False, broken: bool = False
+) -> layers.Inputs:
+    """Source files of the shapes; province names are canonical unless ``broken``."""
     customers = work_path(spark, "in-customers")
     accounts = work_path(spark, "in-accounts")
-    canonical = V.normalize_code("province", shapes.PROVINCE_ALIASES)
-    shapes.customers(spark, sf_dir).withColumn("province", canonical).write.option(
-        "header", True
-    ).csv(customers)
-    shapes.accounts(spark, sf_dir, dirty).write.option("header", True).csv(accounts)
-    return layers.Inputs(customers, accounts, json_lines(spark, sf_dir, dirty=dirty))
+    rows = shapes.customers(spark, sf_dir, broken)
+    if not broken:
+        rows = rows.withColumn("province", V.normalize_code("province", shapes.PROVINCE_ALIASES))
+    rows.write.option("header", True).csv(customers)
+    shapes.accounts(spark, sf_dir, dirty, broken).write.option("header", True).csv(accounts)
+    lines = json_lines(spark, sf_dir, dirty=dirty, broken=broken)
+    return layers.Inputs(customers, accounts, lines)
 
 
 # contracts and drift --------------------------------------------------------
@@ -838,32 +841,33 @@ def dq_thresholds(spark, sf_dir):
 
 @query
 def dq_end_to_end(spark, sf_dir):
-    """Irregular source files in; where their rows ended up, per reason."""
-    rules = replace(quality.load_rules(), fail_threshold=1.0)
+    """Irregular source files in; where their rows ended up, per reason and broken rules."""
     root = work_path(spark, "rules")
     run_with_rules(
         spark,
-        write_inputs(spark, sf_dir, dirty=True),
+        write_inputs(spark, sf_dir, dirty=True, broken=True),
         root,
         RUN_DATE,
-        rules=rules,
+        settings=Settings(province_aliases=shapes.PROVINCE_ALIASES),
         hash_algorithm="sha256",
         **_run_identity(),
     )
     store = LayerStore(spark, root, BATCH_ID)
 
     def aside(source):
-        rows = scan_table(spark, store.path("quarantine", source), ["reason", "copies"])
-        return rows.groupBy("reason").agg(
+        rows = scan_table(spark, store.path("quarantine", source), ["reason", "copies", "breaches"])
+        return rows.groupBy("reason", F.array_join("breaches", ",").alias("breaches")).agg(
             F.lit(source).alias("source"), F.sum("copies").alias("row_count")
         )
 
     loaded = store.read("star", "fact_transactions").agg(
         F.lit("LOADED").alias("reason"),
+        F.lit("").alias("breaches"),
         F.lit("fact_transactions").alias("source"),
         F.count(F.lit(1)).alias("row_count"),
     )
-    return aside("accounts").unionByName(aside("transactions")).unionByName(loaded)
+    aside_rows = aside("customers").unionByName(aside("accounts")).unionByName(aside("transactions"))
+    return aside_rows.unionByName(loaded)
 
 
 @query

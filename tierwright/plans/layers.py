@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -15,9 +17,10 @@ from tierwright.operators.contracts import Contract
 from tierwright.operators.drift import require_known_keys
 from tierwright.operators.flatten import flatten_structs
 from tierwright.operators.integrity import count_orphans
-from tierwright.operators.reconcile import require_conserved
+from tierwright.operators.reconcile import require_conserved, within_tolerance
 from tierwright.plans import contracts as C
 from tierwright.plans.checks import require_star_checks
+from tierwright.plans.settings import Settings
 from tierwright.plans.star import (
     dim_accounts,
     dim_customers,
@@ -35,6 +38,8 @@ from tierwright.sources.files import (
     read_raw_lines,
 )
 
+logger = logging.getLogger("tierwright")
+
 # How each source names itself in the audit columns
 SOURCE_SYSTEMS = {
     "customers": "bank_crm",
@@ -57,6 +62,11 @@ class RunLog:
     batch_id: str
     tables: list[tuple[str, str, int, int]] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
+    warnings: list[str] = field(default_factory=list)
+
+    def warn(self, text: str) -> None:
+        logger.warning(text)
+        self.warnings.append(text)
 
     def as_frame(self, spark: SparkSession) -> DataFrame:
         schema = "layer string, table_name string, rows_in bigint, rows_out bigint"
@@ -65,8 +75,10 @@ class RunLog:
     @contextmanager
     def timed(self, step: str):
         started = time.monotonic()
+        logger.info("step=%s start", step)
         yield
         self.seconds[step] = round(time.monotonic() - started, 3)
+        logger.info("step=%s done seconds=%.1f", step, self.seconds[step])
 
 
 def raw_customers(df: DataFrame, **audit) -> DataFrame:
@@ -94,6 +106,7 @@ class Run:
     audit: dict
     run_date: dt.date | str | None = None
     recheck_unique: bool = True
+    settings: Settings = field(default_factory=Settings)
 
     @classmethod
     def begin(
@@ -106,6 +119,7 @@ class Run:
         ingested_at: dt.datetime | None = None,
         hash_algorithm: str = "xxhash64",
         recheck_unique: bool = True,
+        settings: Settings | None = None,
     ) -> Run:
         batch_id = batch_id or new_batch_id()
         audit = {
@@ -115,7 +129,7 @@ class Run:
         }
         store = LayerStore(spark, root, batch_id)
         store.withdraw_batch()
-        return cls(spark, inputs, store, RunLog(batch_id), audit, run_date, recheck_unique)
+        return cls(spark, inputs, store, RunLog(batch_id), audit, run_date, recheck_unique, settings or Settings())
 
     def step(
         self, layer: str, table: str, df: DataFrame, contract: Contract, rows_in: int | None = None
@@ -139,20 +153,53 @@ class Run:
         return self.step("typed", table, df.select(*contract.names), contract, rows_in)
 
     def customer_dimension(self, rows: int) -> int:
-        dim = dim_customers(self.store.read("typed", "customers"), self.run_date, rows=rows)
+        typed = self.store.read("typed", "customers")
+        dim = dim_customers(typed, self.run_date, self.settings.age_bands, rows=rows)
         return self.step("star", "dim_customers", dim, C.DIM_CUSTOMERS, rows)
 
     def account_dimension(self, rows: int) -> int:
         dim = dim_accounts(self.store.read("typed", "accounts"), rows=rows)
         return self.step("star", "dim_accounts", dim, C.DIM_ACCOUNTS, rows)
 
+    def typed_customers(self, raw: DataFrame) -> DataFrame:
+        return typed_customers(raw, self.settings.date_formats, self.settings.province_aliases)
+
+    def typed_accounts(self, raw: DataFrame) -> DataFrame:
+        return typed_accounts(raw, self.settings.date_formats)
+
+    def typed_transactions(self, raw: DataFrame) -> DataFrame:
+        s = self.settings
+        return typed_transactions(
+            raw, s.date_formats, s.currency_codes, s.currency, province_aliases=s.province_aliases
+        )
+
     def customers_flow(self) -> int:
         n = self.raw_customers()
-        typed = typed_customers(self.store.read("raw", "customers"))
+        typed = self.typed_customers(self.store.read("raw", "customers"))
         n = self.typed("customers", typed, C.TYPED_CUSTOMERS, n)
         return self.customer_dimension(n)
 
-    def finish(self, numbered: DataFrame, rows: int) -> RunLog:
+    def _compare_totals(self, found: dict[str, list]) -> None:
+        """Warn of counts per transaction type or province outside the tolerance of the expected totals."""
+        s = self.settings
+        types = [(r["transaction_type"], r["record_count"]) for r in found["volume_by_type"]]
+        provinces = [(r["province"], r["account_count"]) for r in found["provinces"]]
+        for what, rows, expected, tolerance in (
+            ("transaction_type", types, s.type_totals, s.type_tolerance),
+            ("province", provinces, s.province_totals, s.province_tolerance),
+        ):
+            if not expected:
+                continue
+            schema = "name string, n bigint"
+            actual = small_frame(self.spark, rows, schema)
+            wanted = small_frame(self.spark, [(k, int(n)) for k, n in expected.items()], schema)
+            compared = within_tolerance(actual, wanted, ["name"], "n", tolerance)
+            for r in compared.where("NOT within").orderBy("name").collect():
+                self.log.warn(f"{what} {r['name']}: {r['actual_value']} rows, expected {r['expected_value']}")
+
+    def finish(
+        self, numbered: DataFrame, rows: int, before_publishing: Callable[[], None] | None = None
+    ) -> RunLog:
         """Link the fact table to the dimensions, check the star, then publish the batch."""
         accounts = self.store.read("star", "dim_accounts")
         customers = self.store.read("star", "dim_customers")
@@ -161,7 +208,9 @@ class Run:
         require_conserved("fact_transactions", rows, loaded=loaded)
         with self.log.timed("checks"):
             fact = self.store.read("star", "fact_transactions")
-            require_star_checks(fact, accounts, customers)
+            self._compare_totals(require_star_checks(fact, accounts, customers))
+            if before_publishing:
+                before_publishing()
         self.store.publish_batch()
         return self.log
 
@@ -179,7 +228,7 @@ def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options)
 
     def accounts_flow() -> int:
         n = run.raw_accounts()
-        typed = typed_accounts(run.store.read("raw", "accounts"))
+        typed = run.typed_accounts(run.store.read("raw", "accounts"))
         return run.account_dimension(run.typed("accounts", typed, C.TYPED_ACCOUNTS, n))
 
     def transactions_flow() -> tuple[int, DataFrame]:
@@ -188,7 +237,7 @@ def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options)
         n = run.step("raw", "transactions", raw, C.RAW_TRANSACTIONS)
         if n == 0:
             raise EmptySource(f"source is empty: {inputs.transactions}")
-        typed = typed_transactions(run.store.read("raw", "transactions"))
+        typed = run.typed_transactions(run.store.read("raw", "transactions"))
         n = run.typed("transactions", typed, C.TYPED_TRANSACTIONS, n)
         return n, numbered_transactions(run.store.read("typed", "transactions"), rows=n)
 

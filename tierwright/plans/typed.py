@@ -57,6 +57,7 @@ def typed_transactions(
     currency: str = D.CURRENCY,
     order: Sequence[Column | str] = DEFAULT_ORDER,
     strict_amounts: bool = True,
+    province_aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Losing duplicates are dropped on the raw text, so only winners are parsed.
 
@@ -64,6 +65,8 @@ def typed_transactions(
     has one.  A currency outside ``currency_codes`` is coerced and flagged.
     """
     winners = keep_first(raw, ["transaction_id"], order)
+    if province_aliases:
+        winners = winners.withColumn("location_province", normalize_code("location_province", province_aliases))
     return (
         winners.withColumns(
             {

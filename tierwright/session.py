@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -62,8 +63,31 @@ def work_path(spark: SparkSession, label: str) -> str:
 def run_together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run independent Spark actions from separate driver threads.
 
-    Results come in the order of ``jobs``; the first error is raised.
+    Results come in the order of ``jobs``.  At the first error the Spark jobs of the others are cancelled by
+    their tag, so that a broken source does not wait for a long one, and that error is raised.
     """
+    context = spark.sparkContext
+    tag = f"together-{uuid.uuid4().hex}"
+    failed = threading.Event()
+
+    def tagged(job: Callable[[], object]) -> object:
+        context.addJobTag(tag)
+        try:
+            if failed.is_set():
+                raise RuntimeError("not started: another job failed")
+            return job()
+        finally:
+            context.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        futures = [pool.submit(inheritable_thread_target(spark)(tagged), job) for job in jobs]
+        done, waiting = wait(futures, return_when=FIRST_EXCEPTION)
+        first = next((f.exception() for f in futures if f in done and f.exception()), None)
+        if first is not None:
+            failed.set()
+            while waiting:
+                # a job between two actions has nothing to cancel yet
+                context.cancelJobsWithTag(tag)
+                _, waiting = wait(waiting, timeout=0.2)
+            raise first
         return [f.result() for f in futures]

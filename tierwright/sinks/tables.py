@@ -75,6 +75,12 @@ def write_report(report: DataFrame, path: str) -> str:
     return path
 
 
+def write_object(totals: DataFrame, path: str) -> str:
+    """A frame of one row, nested ones included, as one JSON object in one file."""
+    totals.limit(1).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return path
+
+
 @dataclass(frozen=True)
 class Written:
     path: str

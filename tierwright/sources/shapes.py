@@ -38,11 +38,13 @@ def _date_text(date: Column, dmy: Column, epoch: Column) -> Column:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """``broken`` adds a gender outside the known ones."""
     c = table(spark, sf_dir, "customer")
     nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
     key = F.col("c_custkey")
     born = F.expr("date_add(date'1940-01-01', cast(c_custkey * 17 % 25000 as int))")
+    gender = _pick(D.GENDERS, key % 4)
     province = _pick(D.PROVINCES, F.col("c_nationkey") % 9)
     spelled = (
         F.when((province == "KwaZulu-Natal") & (key % 4 == 0), " kzn")
@@ -60,7 +62,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("first_name"),
         F.col("c_name").alias("last_name"),
         _date_text(born, key % 11 == 3, key % 11 == 7).alias("dob"),
-        _pick(D.GENDERS, key % 4).alias("gender"),
+        (F.when(key % 53 == 7, "?").otherwise(gender) if broken else gender).alias("gender"),
         spelled.alias("province"),
         _pick(D.INCOME_BANDS, key % 5).alias("income_band"),
         F.element_at(segment, F.col("c_mktsegment")).alias("segment"),
@@ -70,21 +72,22 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def accounts(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    """``dirty`` adds NULL account ids and customers that do not exist."""
+def accounts(spark: SparkSession, sf_dir: str, dirty: bool = False, broken: bool = False) -> DataFrame:
+    """``dirty`` adds NULL account ids and customers that do not exist, ``broken`` an unknown status."""
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     account_id, customer = _text(key), _text(F.col("o_custkey"))
     if dirty:
         account_id = F.when(key % 200 != 9, account_id)
         customer = F.when(key % 71 == 5, F.concat(F.lit("N"), customer)).otherwise(customer)
+    status = _pick(D.ACCOUNT_STATUSES, key % 4)
     price = _text(F.col("o_totalprice").cast("decimal(18,2)"))
     active = F.expr("date_add(cast(o_orderdate as date), 30)")
     return o.select(
         account_id.alias("account_id"),
         customer.alias("customer_ref"),
         _pick(D.ACCOUNT_TYPES, key % 3).alias("account_type"),
-        _pick(D.ACCOUNT_STATUSES, key % 4).alias("account_status"),
+        (F.when(key % 59 == 3, "FROZEN").otherwise(status) if broken else status).alias("account_status"),
         _date_text(F.col("o_orderdate"), key % 7 == 2, key % 7 == 5).alias("open_date"),
         _pick(D.PRODUCT_TIERS, F.substring("o_orderpriority", 1, 1).cast("int") % 3).alias(
             "product_tier"
@@ -101,10 +104,14 @@ def accounts(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+def transactions(
+    spark: SparkSession, sf_dir: str, dirty: bool = False, broken: bool = False
+) -> DataFrame:
     """Many rows share a transaction id, as in a feed that delivers twice.
 
-    ``dirty`` adds unknown accounts and dates and amounts that cannot be parsed.
+    ``dirty`` adds unknown accounts and dates and amounts that cannot be parsed.  ``broken`` adds what only a
+    contract refuses (no channel, an unreadable time, an unknown type or province, no metadata), and leaves
+    most currencies in their canonical spelling.
     """
     line = table(spark, sf_dir, "lineitem")
     order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
@@ -123,30 +130,40 @@ def transactions(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
         F.lpad(_text(part % 60), 2, "0"),
         F.lpad(_text(number * 7 % 60), 2, "0"),
     )
+    kind, channel = _pick(D.TRANSACTION_TYPES, number % 4), _pick(D.CHANNELS, part % 6)
+    province, retry = _pick(D.PROVINCES, supp % 9), part % 50 == 0
+    session = F.concat(F.lit("sess-"), _text(supp))
+    if broken:
+        spelled = F.when(part % 4 == 0, spelled).otherwise(D.CURRENCY)
+        clock = F.when(part % 103 == 2, "9am").otherwise(clock)
+        kind = F.when(part % 107 == 3, "GIFT").otherwise(kind)
+        channel = F.when(part % 101 != 1, channel)
+        province = F.when(part % 109 == 4, "Atlantis").otherwise(province)
+        retry, session = (F.when(part % 113 != 5, c) for c in (retry, session))
     return line.select(
         F.concat_ws("-", order, number).alias("transaction_id"),
         account_id.alias("account_id"),
         date.alias("transaction_date"),
         clock.alias("transaction_time"),
-        _pick(D.TRANSACTION_TYPES, number % 4).alias("transaction_type"),
+        kind.alias("transaction_type"),
         F.when(part % 9 != 0, _pick(D.MERCHANT_CATEGORIES, supp % 20)).alias("merchant_category"),
         F.lit(None).cast("string").alias("merchant_subcategory"),
         amount.alias("amount"),
         spelled.alias("currency"),
-        _pick(D.CHANNELS, part % 6).alias("channel"),
-        _pick(D.PROVINCES, supp % 9).alias("location_province"),
+        channel.alias("channel"),
+        province.alias("location_province"),
         F.lit(None).cast("string").alias("location_city"),
         F.when(part % 5 != 0, F.concat(F.lit("-26.1,"), _text(supp))).alias("location_coordinates"),
         F.lit(None).cast("string").alias("metadata_device_id"),
-        F.concat(F.lit("sess-"), _text(supp)).alias("metadata_session_id"),
-        (part % 50 == 0).alias("metadata_retry_flag"),
+        session.alias("metadata_session_id"),
+        retry.alias("metadata_retry_flag"),
     )
 
 
 def amount_sent_as_text() -> Column:
     """Which transactions quote their amount; needs the lineitem-shaped columns."""
-    minutes = F.substring("transaction_time", 4, 2).cast("int")
-    return minutes % 12 == 3
+    minutes = F.substring("transaction_time", 4, 2).try_cast("int")
+    return F.coalesce(minutes % 12 == 3, F.lit(False))
 
 
 def transaction_lines(rows: DataFrame, extra_key: bool = False) -> DataFrame:
@@ -180,6 +197,7 @@ def transaction_lines(rows: DataFrame, extra_key: bool = False) -> DataFrame:
     if extra_key:
         # a NULL field is left out of the text
         fields.append(F.when(F.col("channel") == "ATM", F.col("metadata_session_id")).alias("terminal"))
+    metadata = F.when(F.col("metadata_retry_flag").isNotNull(), metadata)
     text = F.to_json(F.struct(*fields, location.alias("location"), metadata.alias("metadata")))
     text = F.regexp_replace(text, r'"currency":"710"', '"currency":710')
     plain = F.regexp_replace(text, r'"amount":"([0-9.]+)"', '"amount":$1')
