@@ -559,9 +559,11 @@ SQL["drift_strict"] = with_(
 )
 SQL["drift_quarantine"] = with_(
     X,
-    f"""SELECT 'transactions' AS source, 'UNKNOWN_COLUMNS' AS reason, transaction_id,
-  {TERMINAL} AS terminal FROM transactions WHERE {TERMINAL} IS NOT NULL
-UNION ALL SELECT 'transactions', 'IN_BAND', transaction_id, NULL FROM transactions""",
+    """SELECT 'transactions' AS source, 'UNKNOWN_COLUMNS' AS reason, transaction_id,
+  CASE channel WHEN 'ATM' THEN 'terminal' WHEN 'POS' THEN 'location.suburb' ELSE 'location[0].suburb' END AS path,
+  '"' || metadata_session_id || '"' AS json
+FROM transactions WHERE channel IN ('ATM', 'POS', 'EFT')
+UNION ALL SELECT 'transactions', 'IN_BAND', transaction_id, NULL, NULL FROM transactions""",
 )
 SQL["drift_autoevolve"] = with_(
     X,

@@ -724,18 +724,26 @@ def drift_strict(spark, sf_dir):
 
 @query
 def drift_quarantine(spark, sf_dir):
-    rows, known = _lines_with_terminal(spark, sf_dir)
-    result = drift.apply_drift_policy(rows, known, "transaction_id", "transactions", "quarantine")
-    path = work_path(spark, "drift")
-    write_quarantine(result.diverted, path)
-    diverted = scan_table(spark, path, ["source", "reason", "transaction_id", "terminal"])
-    in_band = result.in_band.select(
+    """Unknown keys at any depth, with what they hold, and the rows that are loaded without them."""
+    path = json_lines(spark, sf_dir, extra_key=True)
+    found = drift.drifted_paths(read_raw_lines(spark, path), TRANSACTION_JSON)
+    diverted = found.select(
+        F.lit("transactions").alias("source"),
+        F.lit("UNKNOWN_COLUMNS").alias("reason"),
+        F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
+        "path",
+        "json",
+    )
+    where = work_path(spark, "drift")
+    write_quarantine(diverted, where)
+    in_band = read_json_lines(spark, path, TRANSACTION_JSON, "malformed").select(
         F.lit("transactions").alias("source"),
         F.lit("IN_BAND").alias("reason"),
         "transaction_id",
-        F.lit(None).cast("string").alias("terminal"),
+        F.lit(None).cast("string").alias("path"),
+        F.lit(None).cast("string").alias("json"),
     )
-    return diverted.unionByName(in_band)
+    return scan_table(spark, where, in_band.columns).unionByName(in_band)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,93 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     )
 
 
+# Distinct headers of one source; each is a case of the parsing expression.
+MOST_HEADERS = 200
+
+
+class TooManyHeaders(RuntimeError):
+    """The files of a source have more different headers than any source has versions."""
+
+
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return lines.where("trim(value) <> ''")
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, header): the first line of every file.  One map-side aggregate over the lines."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("begins"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # the part of a file that begins at 0 is read by one task, in order
+    firsts = lines.where("begins = 0 AND trim(value) <> ''")
+    return firsts.groupBy("source_file").agg(F.min_by("value", "at").alias("header"))
+
+
+def _header_names(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]))
+
+
+def unknown_csv_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> list[str]:
+    """Columns in any file's header that are not among ``columns``."""
+    return sorted({n for h in _distinct_headers(csv_headers(spark, path)) for n in _header_names(h)} - set(columns))
+
+
+def _distinct_headers(headers: DataFrame) -> list[str]:
+    rows = headers.select("header").distinct().limit(MOST_HEADERS + 1).collect()
+    if len(rows) > MOST_HEADERS:
+        raise TooManyHeaders(f"more than {MOST_HEADERS} different headers")
+    return sorted(r["header"] for r in rows)
+
+
+def read_csv_drifting(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """CSV files each read by its own header: ``columns`` as text, unknown_columns, malformed, source_file.
+
+    A file may have further columns, fewer or another order: absent ones are NULL, others go to the map
+    ``unknown_columns`` (NULL where a row has none).  A line that does not have its header's number of fields, or
+    whose quotes do not close, is kept whole in ``malformed``, its columns NULL.  A record is one line; empty lines
+    and repeated headers are no rows.
+    """
+    headers = csv_headers(spark, path)
+    kinds = _distinct_headers(headers)
+    lines = _csv_lines(spark, path).join(headers, "source_file").where("value <> header")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    parsed = None
+    for header in kinds:
+        names = _header_names(header)
+        fields = [T.StructField(f"f{i}", T.StringType()) for i in range(len(names))]
+        schema = T.StructType([*fields, T.StructField("_line", T.StringType())])
+        r = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+        # of columns with one name the first counts
+        place = {n: f"f{i}" for i, n in reversed(list(enumerate(names)))}
+        known = [(r[place[c]] if c in place else F.lit(None).cast("string")).alias(c) for c in columns]
+        extra = [p for n in place if n not in columns for p in (F.lit(n), r[place[n]])]
+        unknown = F.create_map(*extra) if extra else F.lit(None).cast("map<string,string>")
+        if extra:
+            unknown = F.map_filter(unknown, lambda _, v: v.isNotNull())
+            unknown = F.when(F.size(unknown) > 0, unknown)
+        row = F.struct(*known, unknown.alias("unknown_columns"), r["_line"].alias("malformed"))
+        parsed = F.when(F.col("header") == header, row) if parsed is None else parsed.when(F.col("header") == header, row)
+    if parsed is None:
+        text, extra = T.StringType(), T.MapType(T.StringType(), T.StringType())
+        empty = text_schema(columns).add("unknown_columns", extra).add("malformed", text).add("source_file", text)
+        return spark.createDataFrame([], empty)
+    rows = lines.select(parsed.alias("r"), "source_file", "value").select("r.*", "source_file", "value")
+    # the parser takes an open quote for a value up to the line's end
+    quotes = F.regexp_count(F.regexp_replace("value", r"\\.", ""), F.lit('"'))
+    rows = rows.withColumn("malformed", F.when(quotes % 2 == 1, F.col("value")).otherwise(F.col("malformed")))
+    whole = F.col("malformed").isNull()
+    return rows.select(
+        *[F.when(whole, F.col(c)).alias(c) for c in columns],
+        F.when(whole, F.col("unknown_columns")).alias("unknown_columns"),
+        "malformed",
+        "source_file",
+    )
+
+
 def read_json_lines(
     spark: SparkSession,
     path: str,

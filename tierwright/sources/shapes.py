@@ -170,13 +170,18 @@ def transaction_lines(rows: DataFrame, extra_key: bool = False) -> DataFrame:
     """JSON lines of transactions: nested objects, numeric amounts unless
     :func:`amount_sent_as_text`, numeric ``710``, no ``merchant_subcategory`` key.
 
-    ``extra_key`` adds a key no reader expects to some lines.
+    ``extra_key`` adds a key no reader expects to some lines: at the top, in an object, and in an object that
+    comes as an array.
     """
-    location = F.struct(
+    place = [
         F.col("location_province").alias("province"),
         F.col("location_city").alias("city"),
         F.col("location_coordinates").alias("coordinates"),
-    )
+    ]
+    if extra_key:
+        nested = F.col("channel").isin("POS", "EFT")
+        place.append(F.when(nested, F.col("metadata_session_id")).alias("suburb"))
+    location = F.struct(*place)
     metadata = F.struct(
         F.col("metadata_device_id").alias("device_id"),
         F.col("metadata_session_id").alias("session_id"),
@@ -198,7 +203,13 @@ def transaction_lines(rows: DataFrame, extra_key: bool = False) -> DataFrame:
         # a NULL field is left out of the text
         fields.append(F.when(F.col("channel") == "ATM", F.col("metadata_session_id")).alias("terminal"))
     metadata = F.when(F.col("metadata_retry_flag").isNotNull(), metadata)
-    text = F.to_json(F.struct(*fields, location.alias("location"), metadata.alias("metadata")))
+
+    def line(place: Column) -> Column:
+        return F.to_json(F.struct(*fields, place.alias("location"), metadata.alias("metadata")))
+
+    text = line(location)
+    if extra_key:
+        text = F.when(F.col("channel") == "EFT", line(F.array(location))).otherwise(text)
     text = F.regexp_replace(text, r'"currency":"710"', '"currency":710')
     plain = F.regexp_replace(text, r'"amount":"([0-9.]+)"', '"amount":$1')
     return rows.select(F.when(amount_sent_as_text(), text).otherwise(plain).alias("value"))
