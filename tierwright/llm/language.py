@@ -23,9 +23,14 @@ CLASSES = FIRST + LETTERS + SHARED
 SPAN = 2048  # symbols parsed in one go; a longer text is several spans
 COLUMNS = 2048  # spans parsed side by side
 UNKNOWN = "und"
-# A text of some length that needs more bits per symbol than this is in no learned language: texts that mix
-# two languages were measured at up to 4.7, hex digits at 5.8, random letters at 8.
-REJECT_BITS, REJECT_CHARS = 5.2, 500
+# A text that needs more bits per symbol than its length allows is in no learned language.  Measured on sf0.1 cut
+# to a length, and on random letters of that length: learned languages take up to 7.12 bits until 200 characters,
+# 6.17 at 300, 5.27 at 400 and 4.73 at 500; random letters 7.5 to 9.8 at 80 and 8 to 9 from 300 on, random
+# words of letters 6.8 to 8.3 at 200, hex digits 5.3 to 6.5 at 500.
+SHORT_CHARS, LONG_CHARS = 200, 500
+SHORT_BITS, LONG_BITS = 7.3, 5.2
+# A phrase takes some 14.3 bits, and two of them are allowed however short the text is.
+TWO_PHRASES = 28.6
 
 FIELDS = "lang_pred string, score double, bits double"
 
@@ -197,13 +202,15 @@ def learn_models(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Models:
 
     The sample is bounded: for each language the ``per_language`` documents with the smallest id hash, and of
     each the symbols that make up its share of ``SAMPLE_SYMBOLS``.  Only ids and labels are ranked; the
-    chosen texts are then read by their ids.
+    chosen texts are then read by their ids, at most ``per_language`` rows a language even where ids repeat.
     """
     train = docs.filter(F.col("lang").isNotNull() & (crc_of_id("doc_id") % 5 != 0))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = train.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_language)
     ids = [r["doc_id"] for r in chosen.select("doc_id").distinct().collect()]  # at most per_language a language
     rows = train.filter(F.col("doc_id").isin(ids) & F.col("text").isNotNull())
+    again = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows = rows.select("doc_id", "lang", "text").withColumn("_n", F.row_number().over(again)).filter(F.col("_n") <= per_language)
     # enough symbols for a model of this language alone
     texts: dict[str, list[str]] = {}
     for r in rows.select("doc_id", "lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text")).orderBy("doc_id").collect():
@@ -239,10 +246,21 @@ def with_language(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(name, identify(models, F.col("text"))), name
 
 
+def most_bits(chars: Column) -> Column:
+    """Bits per symbol that a text of ``chars`` characters may take: fewer the longer it is."""
+    part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (chars - SHORT_CHARS) / (LONG_CHARS - SHORT_CHARS)))
+    return F.greatest(SHORT_BITS - part * (SHORT_BITS - LONG_BITS), TWO_PHRASES / F.greatest(chars, F.lit(1)))
+
+
 def reject_unknown(docs: DataFrame) -> DataFrame:
-    """``docs`` without texts that have no letter or that no learned language explains; short texts stay."""
+    """``docs`` without texts that have no letter or that no learned language explains.
+
+    The limit follows the text's length, see :func:`most_bits`.  Null texts have no letter and go; repeated rows
+    are judged alike; an empty table, or one without labels to learn from, gives no rows; columns of any name
+    go along.
+    """
     judged, name = with_language(docs)
-    foreign = (F.col(f"{name}.bits") > REJECT_BITS) & (F.length("text") >= REJECT_CHARS)
+    foreign = F.col(f"{name}.bits") > most_bits(F.length("text"))
     kept = (F.col(f"{name}.lang_pred") != UNKNOWN) & ~F.coalesce(foreign, F.lit(False))
     return judged.filter(kept).select(*docs.columns)
 

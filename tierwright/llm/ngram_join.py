@@ -10,10 +10,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, read_table, store
+from .common import WORD_PATTERN, free_name, partitions, read_table, store
 from .components import components, forest
 
 # Elements that the prefixes of two linked large sets must share, and the size of subsets of small sets.
@@ -129,7 +129,7 @@ def _dealt(keys: np.ndarray, columns: list[np.ndarray], n: int) -> pd.DataFrame:
 
 
 def name_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, name): the size and name of every document's set; name null for an empty set."""
+    """(doc_id, text_hash, n_shingles, name): the size and name of every document's set; name null for an empty set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
@@ -138,13 +138,15 @@ def name_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
+                    "text_hash": batch["text_hash"],
                     "n_shingles": np.asarray([len(s) for s in sets], dtype="int64"),
                     "name": pd.array([digest(s) if len(s) else None for s in sets], dtype="Int64"),
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id string, n_shingles long, name long"
+    ids = F.col("doc_id").cast("string").alias("doc_id")
+    return docs.select(ids, F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
+        run, "doc_id string, text_hash long, n_shingles long, name long"
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
@@ -354,9 +356,11 @@ def scan_lists(packed: DataFrame, rule: Rule) -> DataFrame:
 
 
 def rebuilt_sets(names: DataFrame, docs: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
-    """(name, elements) of the sets called ``names``, from one document of each."""
-    ids = named.filter("doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id")).join(names, "name").select("doc_id")
-    texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi")
+    """(name, elements) of the sets called ``names``, from one document of each, with or without an id."""
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one")
+    chosen = named.groupBy("name").agg(one).join(names, "name").select(_id_text("one.doc_id").alias("id_text"), "one.text_hash")
+    keyed = docs.select("text", _id_text("doc_id").alias("id_text"), F.xxhash64("text").alias("text_hash"))
+    texts = keyed.join(chosen.distinct(), ["id_text", "text_hash"], "left_semi")
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Words()
@@ -432,8 +436,13 @@ def long_list_links(long: DataFrame, found: DataFrame, docs: DataFrame, named: D
     return filled.groupBy("key", "i", "j").applyInPandas(lambda block: block_links(block, rule), "a long, b long")
 
 
-def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+def _id_text(doc_id: str) -> Column:
+    """Text of an id, empty for null: rows are told apart by it and the hash of their text."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def grouped_sets(docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component of every row of ``docs``; component null for an empty set.
 
     Sets of distinct word shingles link by ``rule``.  Equal sets are one set from
     the start.  All sets follow one order of elements, rare ones first, in which two linked sets must share
@@ -441,11 +450,6 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     sets in an inverted list for each prefix element, and pairs that share enough lists are compared in full;
     where small ends is chosen by cost.  Long lists are first compared around pivots; what they leave in
     different components is then compared block by block, so no link between components is lost.
-
-    Null and empty texts have no set and link with nothing; a text with fewer words than a shingle has one shingle.  Ties:
-    the component is named by its smallest doc_id.  Repeated rows each get a row; a row with a null doc_id
-    gets the component of the sets it equals or null if there is none.  Other columns are not read, and an
-    empty table gives no rows.
     """
     spark = docs.sparkSession
     named = store(name_sets(docs, rule), "ngram-names")
@@ -466,9 +470,19 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     if not long.isEmpty():
         more = store(long_list_links(long, found, docs, named, rule), "ngram-more-links")
         found = components(links.union(more), "ngram-components")
-    groups = named.join(found.withColumnRenamed("node", "name"), "name", "left").withColumn(
-        "component", F.coalesce("component", "name")
-    )
+    groups = named.join(found.withColumnRenamed("node", "name"), "name", "left")
+    return groups.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "name").alias("component"))
+
+
+def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text), by :func:`grouped_sets`.
+
+    Null and empty texts have no set and link with nothing; a text with fewer words than a shingle has one shingle.  Ties:
+    the component is named by its smallest doc_id.  Repeated rows each get a row.  A row with a null doc_id links
+    like any other, and its component_id is null only where all of its component have none.  Other columns are
+    not read, and an empty table gives no rows.
+    """
+    groups = grouped_sets(docs, rule)
     smallest = groups.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     with_set = groups.filter("component is not null").join(smallest, "component").select("doc_id", "n_shingles", "component_id")
     without = groups.filter("component is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -476,10 +490,21 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each component; rows with a null doc_id stay."""
-    keep = ngram_components(docs.select("doc_id", "text"), rule).filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One row of each component of ``docs``: of the smallest doc_id (null last), then text hash.
+
+    Rows are told apart by id and text, so different texts under one id are different documents, and only
+    exact copies of the row that stays go with it.  Null and empty texts are in no component and stay.
+    """
+    groups = grouped_sets(docs.select("doc_id", "text"), rule)
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one")
+    kept = groups.filter("component is not null").groupBy("component").agg(one)
+    id_text, text_hash = free_name(docs.columns, "_id_text"), free_name(docs.columns, "_text_hash")
+    kept = kept.select(_id_text("one.doc_id").alias(id_text), F.col("one.text_hash").alias(text_hash))
+    keyed = docs.withColumns({id_text: _id_text("doc_id"), text_hash: F.xxhash64("text")})
+    key = [id_text, text_hash]
+    wordless = ~F.coalesce(F.col("text").rlike(WORD_PATTERN), F.lit(False))
+    once = keyed.filter(~wordless).join(kept, key, "left_semi").dropDuplicates(key)
+    return once.select(*docs.columns).unionByName(docs.filter(wordless))
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

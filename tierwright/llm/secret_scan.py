@@ -187,10 +187,12 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") ->
     """``docs`` with every live candidate replaced by ``mark``; ``n_chars``, if there, follows.
 
     Overlapping live spans are replaced as one.  Texts without a live candidate stay untouched, widely
-    copied examples too.
+    copied examples too.  Columns of any name go along.
     """
     staged, judged, column = scan_secrets(docs, text_col)
-    live = judged.filter("live").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("_live"))
+    row, cuts = free_name([*docs.columns, column], "_row"), free_name([*docs.columns, column], "_live")
+    spans = F.array_sort(F.collect_list(F.struct("first", "last"))).alias(cuts)
+    live = judged.filter("live").groupBy(F.col("row").alias(row)).agg(spans)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -205,9 +207,9 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") ->
         return pd.Series(out, dtype=object)
 
     clean = staged.filter(F.size(f"{column}.found") == 0).select(*docs.columns)
-    touched = staged.filter(F.size(f"{column}.found") > 0).join(live, F.col(f"{column}.row") == live["row"], "left")
-    text = F.when(F.col("_live").isNotNull(), cut(F.col(text_col), F.coalesce("_live", F.expr("cast(array() as array<struct<first: long, last: long>>)")))).otherwise(F.col(text_col))
+    touched = staged.filter(F.size(f"{column}.found") > 0).join(live, F.col(f"{column}.row") == F.col(row), "left")
+    text = F.when(F.col(cuts).isNotNull(), cut(F.col(text_col), F.coalesce(cuts, F.expr("cast(array() as array<struct<first: long, last: long>>)")))).otherwise(F.col(text_col))
     changed = touched.withColumn(text_col, text)
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_live").isNotNull(), F.length(text_col)).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.col(cuts).isNotNull(), F.length(text_col)).otherwise(F.col("n_chars")))
     return clean.unionByName(changed.select(*docs.columns))
