@@ -12,8 +12,15 @@ from tierwright.plans import contracts as C
 from tierwright.operators.contracts import enforce
 from tierwright.sources.folders import versions
 from tierwright.streaming.freshness import freshness_report
-from tierwright.streaming.source import ledger_rows, read_stream, run_available, start_polling, stop_when_quiet
-from tierwright.streaming.tables import ARRIVED_SCHEMA, BALANCE_SIGNS, StreamTables
+from tierwright.streaming.source import (
+    ledger_rows,
+    read_stream,
+    run_available,
+    start_polling,
+    state_session,
+    stop_when_quiet,
+)
+from tierwright.streaming.tables import ARRIVED_SCHEMA, BALANCE_SIGNS, StreamTables, with_new_ids
 
 BATCH_SCHEMA = ARRIVED_SCHEMA.rsplit(", ", 1)[0]
 START = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
@@ -160,13 +167,15 @@ def lines(path, rows):
     name.write_text("\n".join(out) + "\n")
 
 
-def test_files_restart_and_redelivery(spark, accounts, folder):
+@pytest.mark.parametrize("keyed", [False, True])
+def test_files_restart_and_redelivery(spark, accounts, folder, keyed):
     rows, source, root = events(90, seed=3), folder(), folder()
-    tables = StreamTables(spark, root, accounts, keep=6, compact_every=2)
+    tables = StreamTables(spark, root, accounts, keep=6, compact_every=2, keyed=keyed)
 
     def run():
-        raw = read_stream(spark, source, files_per_batch=1)
-        run_available(ledger_rows(raw).writeStream.foreachBatch(tables.apply), f"{root}/_checkpoint")
+        found = ledger_rows(read_stream(state_session(spark) if keyed else spark, source, files_per_batch=1))
+        found = with_new_ids(found) if keyed else found
+        run_available(found.writeStream.foreachBatch(tables.apply), f"{root}/_checkpoint")
 
     lines(source, rows[:40])
     lines(source, rows[40:60])
@@ -206,3 +215,79 @@ def test_unknown_type_is_set_aside(spark, accounts, folder):
     assert [r.transaction_id for r in tables.ledger().collect()] == ["t1"]
     assert [(r.transaction_id, r.reason) for r in tables.quarantined().collect()] == [("t2", "UNKNOWN_TYPE")]
     assert [r.current_balance for r in tables.current_balances().collect()] == [Decimal("105.00")]
+
+
+def balances(tables):
+    return {r.account_id: r.current_balance for r in tables.current_balances().collect()}
+
+
+def test_state_of_ids_replay_and_conflicting_copies(spark, accounts, folder, monkeypatch):
+    """A batch that fails behind the stream's state is run again and loses nothing; no batch reads earlier ids."""
+    source, root = folder(), folder()
+    tables = StreamTables(spark, root, accounts, keep=6, compact_every=3, keyed=True)
+    read, real_read, real_write = [], StreamTables._read, StreamTables._write
+    monkeypatch.setattr(StreamTables, "_read", lambda self, schema, base, *a, **k: read.append(base) or real_read(self, schema, base, *a, **k))
+
+    def run():
+        found = with_new_ids(ledger_rows(read_stream(state_session(spark, 2), source, files_per_batch=1)))
+        run_available(found.writeStream.foreachBatch(tables.apply), f"{root}/_checkpoint")
+
+    # copies of one id in one batch: the first by content counts, as without the state
+    copies = [("a", "t1", START + dt.timedelta(days=d), Decimal(5 + d), "CREDIT", None) for d in (2, 0, 1)]
+    lines(source, copies)
+    run()
+    assert balances(tables) == {"a": Decimal("105.00")}
+
+    def fail(self, df, schema, path):
+        if "/balances/" in path:
+            raise OSError("executor lost")
+        real_write(self, df, schema, path)
+
+    lines(source, copies + [("b", "t3", START, Decimal(7), "CREDIT", None)])
+    monkeypatch.setattr(StreamTables, "_write", fail)
+    with pytest.raises(Exception, match="executor lost"):
+        run()
+    monkeypatch.setattr(StreamTables, "_write", real_write)
+    run()
+    assert balances(tables) == {"a": Decimal("105.00"), "b": Decimal("107.00")}
+    for i in range(5):
+        lines(source, copies + [("b", f"u{i}", START, Decimal(1), "DEBIT", None)])
+    run()
+    assert balances(tables) == {"a": Decimal("105.00"), "b": Decimal("102.00")}
+    assert tables.ledger().count() == 7
+    assert "ledger_ids" not in read and not versions(spark, f"{root}/ledger_ids", "upto")
+    assert len(versions(spark, f"{root}/delivered", "batch")) <= 6
+
+
+def test_orphans_come_back_once(spark, folder):
+    """Rows of an unknown account are applied by the first batch after it appears; a leaver keeps its balance."""
+    schema = "account_id string, current_balance decimal(18,2)"
+    frames = [
+        spark.createDataFrame([("a", Decimal("100.00"))], schema),
+        spark.createDataFrame([("a", Decimal("100.00")), ("new", Decimal("50.00"))], schema),
+        spark.createDataFrame([("new", Decimal("50.00"))], schema),
+    ]
+    now = [0]
+    tables = StreamTables(spark, folder(), lambda: frames[now[0]], keep=2, compact_every=3)
+
+    def apply(batch_id, *rows):
+        tables.apply(spark.createDataFrame([(a, t, START + dt.timedelta(hours=h), Decimal(n), "CREDIT", None) for a, t, h, n in rows], BATCH_SCHEMA), batch_id)
+
+    waiting = lambda: sorted(r.transaction_id for r in tables.quarantined().collect())
+    apply(0, ("new", "t1", 5, 1), ("a", "t2", 1, 10), ("never", "t3", 1, 99))
+    apply(1, ("new", "t4", 4, 2), ("new", "t1", 5, 1))
+    assert balances(tables) == {"a": Decimal("110.00")} and waiting() == ["t1", "t3", "t4"]
+    now[0] = 1
+    apply(2, ("new", "t5", 1, 4))  # compacted
+    apply(2, ("new", "t5", 1, 4))  # and applied again
+    assert balances(tables) == {"a": Decimal("110.00"), "new": Decimal("57.00")} and waiting() == ["t3"]
+    assert sorted(r.transaction_id for r in tables.recent_transactions().where("account_id = 'new'").collect()) == ["t1", "t4"]
+    apply(3, ("new", "t1", 5, 1), ("new", "t4", 4, 2))  # redelivered
+    now[0] = 2
+    apply(4, ("a", "t6", 9, 7), ("new", "t7", 9, 3))
+    apply(4, ("a", "t6", 9, 7), ("new", "t7", 9, 3))
+    assert balances(tables) == {"a": Decimal("110.00"), "new": Decimal("60.00")} and waiting() == ["t3", "t6"]
+    now[0] = 1
+    apply(5)
+    assert balances(tables) == {"a": Decimal("117.00"), "new": Decimal("60.00")} and waiting() == ["t3"]
+    assert tables.ledger().count() == 7

@@ -45,8 +45,8 @@ from tierwright.sources.files import (
     scan_table,
 )
 from tierwright.streaming.freshness import freshness_report
-from tierwright.streaming.source import ledger_rows, read_stream, run_available
-from tierwright.streaming.tables import StreamTables
+from tierwright.streaming.source import ledger_rows, read_stream, run_available, state_session
+from tierwright.streaming.tables import StreamTables, with_new_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -919,9 +919,9 @@ def streamed_tables(spark, sf_dir) -> StreamTables:
     def build():
         root = work_path(spark, "stream")
         accounts = stored(stream_accounts(spark, sf_dir), "stream-accounts")
-        tables = StreamTables(spark, root, accounts, compact_every=3)
-        raw = read_stream(spark, event_lines(spark, sf_dir), files_per_batch=2)
-        writer = ledger_rows(raw).writeStream.foreachBatch(tables.apply)
+        tables = StreamTables(spark, root, accounts, compact_every=3, keyed=True)
+        raw = read_stream(state_session(spark), event_lines(spark, sf_dir), files_per_batch=2)
+        writer = with_new_ids(ledger_rows(raw)).writeStream.foreachBatch(tables.apply)
         run_available(writer, f"{root}/_checkpoint")
         return tables
 

@@ -13,6 +13,13 @@ from tierwright.functions.domains import DATE_FORMATS
 from tierwright.functions.values import combine_timestamp, money, parse_date
 from tierwright.sources.files import TRANSACTION_JSON
 
+# A stream's state in RocksDB: on local disk rather than in memory, and a batch saves only what it changed.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+KEPT_SETTINGS = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions")
+
 # Fixed values
 POLL_SECONDS = 10
 QUIET_SECONDS = 60
@@ -30,6 +37,21 @@ def read_stream(
     return reader.json(path)
 
 
+def state_session(spark: SparkSession, stores: int | None = None) -> SparkSession:
+    """A session whose streams keep their state in RocksDB; other sessions' settings stay as they are.
+
+    A stream keeps the number of ``stores`` it was started with (by default the shuffle partitions), so plan
+    it for the keys to come.
+    """
+    session = spark.newSession()
+    settings = {key: spark.conf.get(key) for key in KEPT_SETTINGS} | STATE_SETTINGS
+    if stores:
+        settings["spark.sql.shuffle.partitions"] = str(stores)
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
 def ledger_rows(
     raw: DataFrame, formats: Sequence[str] = DATE_FORMATS, keep: Sequence[str] = ()
 ) -> DataFrame:
