@@ -66,15 +66,30 @@ def candidates(text: str | None) -> list[tuple[str, int, int, str, bool]]:
             add("access", m, m[0], len(set(m[0][4:])) > 4)
     for m in HEX.finditer(text):
         add("hex", m, m[0], len(set(m[0])) > 4)
-    taken = [(s, e) for _, s, e, _, _ in found]
     for kind, pattern in (("prefixed", PREFIXED), ("opaque", OPAQUE)):
-        for m in pattern.finditer(text):
-            if (kind == "prefixed" or looks_random(m[0])) and not any(s < m.end() and m.start() < e for s, e in taken):
-                add(kind, m, m[0], looks_random(m[0]))
-                taken.append(m.span())
+        for m in clear_of([(s, e) for _, s, e, _, _ in found], pattern.finditer(text)):
+            random = looks_random(m[0])
+            if random or kind == "prefixed":
+                add(kind, m, m[0], random)
     return sorted(found, key=lambda c: (c[1], KINDS.index(c[0])))
 
 
+def clear_of(spans: list[tuple[int, int]], matches: Iterator[re.Match]) -> Iterator[re.Match]:
+    """Those of ``matches``, which come in order, that overlap none of ``spans``: one pass over both."""
+    apart: list[list[int]] = []
+    for first, last in sorted(spans):
+        if apart and first <= apart[-1][1]:
+            apart[-1][1] = max(apart[-1][1], last)
+        else:
+            apart.append([first, last])
+    at = 0
+    for m in matches:
+        while at < len(apart) and apart[at][1] <= m.start():
+            at += 1
+        if at == len(apart) or apart[at][0] >= m.end():
+            yield m
+
+
 def candidate_spans(text: Column) -> Column:
     """Array of candidates of a text column."""
     names = ("kind", "first", "last", "value_hash", "live_form")
@@ -168,6 +183,7 @@ def op4_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.collect_list(F.struct("kind", "first", "last")).alias("shown"),
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("most_repositories"),
     )
     base = ", ".join(repr(k) for k in BASE_KINDS)
     out = staged.select("doc_id", F.col(f"{column}.row").alias("row")).join(per_row, "row", "left")
@@ -180,6 +196,7 @@ def op4_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_joined("shown")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("most_owners", F.lit(0)).alias("most_owners"),
+        F.coalesce("most_repositories", F.lit(0)).alias("most_repositories"),
     )
 
 

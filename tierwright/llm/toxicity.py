@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import crc_of_id, read_table, store
 from .quality import words_of
@@ -104,13 +103,20 @@ def phrases_at(folded: str, start: int) -> list[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(text, toxic) of a bounded sample: per label the ``per_class`` documents with the smallest id hash."""
+    """(text, toxic) of a bounded sample: per label the ``per_class`` documents with the smallest id hash.
+
+    Each task keeps its first ``per_class`` ids of a label, so no task meets all labels.  Of several texts
+    under one id the least by code point is learned from, so the sample has at most ``2 * per_class`` rows.
+    """
     known = labels.filter(F.col("toxic").isin(0, 1) & (crc_of_id("doc_id") % 4 != 2))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_class).select("doc_id", "toxic")
-    # at most 2 * per_class ids are broadcast, so no text is shuffled; the sample is read several times
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null")
+    clean, toxic = (
+        known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for label in (0, 1)
+    )
+    # at most 2 * per_class ids are broadcast, so only texts of the sample are shuffled; it is read several times
+    chosen = F.broadcast(clean.unionByName(toxic))
+    sample = docs.select("doc_id", "text").join(chosen, "doc_id").filter("text is not null")
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return store(sample.select("text", "toxic"), "toxicity-sample")
 
 
