@@ -7,17 +7,17 @@ layer's job.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from tierwright.functions import domains as D
 from tierwright.operators.contracts import ColumnRule, Contract
 
 MONEY = "decimal(18,2)"
 
 
-def _rules(required: str, nullable: str = "", order: str | None = None) -> list[ColumnRule]:
-    """Text columns; ``order`` lists all of them when the two groups interleave."""
-    optional = set(nullable.split())
-    names = (order or f"{required} {nullable}").split()
-    return [ColumnRule(n, nullable=n in optional) for n in names]
+def _rules(names: Sequence[str], nullable: Sequence[str] = ()) -> list[ColumnRule]:
+    """Text columns."""
+    return [ColumnRule(n, nullable=n in nullable) for n in names]
 
 
 AUDIT = [
@@ -27,40 +27,77 @@ AUDIT = [
     ColumnRule("_source_row_hash"),
 ]
 
+# The sources' columns, in their order, and those that may be empty.
 CUSTOMER_COLUMNS = (
-    "customer_id id_number first_name last_name dob gender province income_band segment "
-    "risk_score kyc_status product_flags"
-).split()
+    "customer_id",
+    "id_number",
+    "first_name",
+    "last_name",
+    "dob",
+    "gender",
+    "province",
+    "income_band",
+    "segment",
+    "risk_score",
+    "kyc_status",
+    "product_flags",
+)
 
 ACCOUNT_COLUMNS = (
-    "account_id customer_ref account_type account_status open_date product_tier mobile_number "
-    "digital_channel credit_limit current_balance last_activity_date"
-).split()
+    "account_id",
+    "customer_ref",
+    "account_type",
+    "account_status",
+    "open_date",
+    "product_tier",
+    "mobile_number",
+    "digital_channel",
+    "credit_limit",
+    "current_balance",
+    "last_activity_date",
+)
 
 TRANSACTION_COLUMNS = (
-    "transaction_id account_id transaction_date transaction_time transaction_type "
-    "merchant_category merchant_subcategory amount currency channel location_province "
-    "location_city location_coordinates metadata_device_id metadata_session_id "
-    "metadata_retry_flag"
-).split()
+    "transaction_id",
+    "account_id",
+    "transaction_date",
+    "transaction_time",
+    "transaction_type",
+    "merchant_category",
+    "merchant_subcategory",
+    "amount",
+    "currency",
+    "channel",
+    "location_province",
+    "location_city",
+    "location_coordinates",
+    "metadata_device_id",
+    "metadata_session_id",
+    "metadata_retry_flag",
+)
 
 RAW_CUSTOMERS = Contract(
-    "raw_customers", tuple(_rules(" ".join(CUSTOMER_COLUMNS)) + AUDIT)
+    "raw_customers", tuple(_rules(CUSTOMER_COLUMNS) + AUDIT)
 )
 
-_account_optional = "mobile_number credit_limit last_activity_date"
+_account_optional = ("mobile_number", "credit_limit", "last_activity_date")
 RAW_ACCOUNTS = Contract(
     "raw_accounts",
-    tuple(_rules("", _account_optional, " ".join(ACCOUNT_COLUMNS)) + AUDIT),
+    tuple(_rules(ACCOUNT_COLUMNS, _account_optional) + AUDIT),
 )
 
 _transaction_optional = (
-    "merchant_category merchant_subcategory location_province location_city "
-    "location_coordinates metadata_device_id metadata_session_id"
+    "merchant_category",
+    "merchant_subcategory",
+    "location_province",
+    "location_city",
+    "location_coordinates",
+    "metadata_device_id",
+    "metadata_session_id",
 )
 RAW_TRANSACTIONS = Contract(
     "raw_transactions",
-    tuple(_rules("", _transaction_optional, " ".join(TRANSACTION_COLUMNS)) + AUDIT),
+    tuple(_rules(TRANSACTION_COLUMNS, _transaction_optional) + AUDIT),
 ).derive("raw_transactions", {"metadata_retry_flag": {"type": "boolean"}})
 
 TYPED_CUSTOMERS = RAW_CUSTOMERS.derive(
