@@ -291,3 +291,40 @@ def test_orphans_come_back_once(spark, folder):
     apply(5)
     assert balances(tables) == {"a": Decimal("117.00"), "new": Decimal("60.00")} and waiting() == ["t3"]
     assert tables.ledger().count() == 7
+
+
+def test_recent_rows_are_cut_before_they_are_ranked(spark, folder):
+    """Late rows below an account's cut go before the shuffle; other accounts are not ranked anew."""
+    rows = events(400, seed=8)
+    known = ["hot", "a", "b", "c", "quiet"]
+    accounts = spark.createDataFrame([(a, Decimal(100)) for a in known], "account_id string, current_balance decimal(18,2)")
+    tables = StreamTables(spark, folder(), accounts, keep=5, compact_every=2)
+    quiet = [("quiet", f"q{i}", START + dt.timedelta(minutes=i), Decimal(1), "CREDIT", "POS") for i in range(7)]
+    tables.apply(spark.createDataFrame(rows[:200] + quiet, BATCH_SCHEMA), 0)
+    tables.apply(spark.createDataFrame(rows[200:300], BATCH_SCHEMA), 1)
+    # the row at the cut: a tie with a smaller id comes before it, one with a larger id goes
+    cut = tables._merge_recent().where("account_id = 'hot' and place = 5").first()
+    moment = cut.transaction_timestamp.replace(tzinfo=dt.timezone.utc)
+    old = START - dt.timedelta(days=1)
+    late = [("hot", f"late{i}", old, Decimal(1), "DEBIT", "POS") for i in range(30)]
+    tied = [("hot", name, moment, Decimal(1), "FEE", "POS") for name in ("a-tie", "z-tie")]
+    tables.apply(spark.createDataFrame(late + tied, BATCH_SCHEMA), 2)
+    written = {r.transaction_id for r in tables._stored(ARRIVED_SCHEMA, "recent", 2).collect()}
+    assert written == {"a-tie"}
+    tables.apply(spark.createDataFrame(rows[300:], BATCH_SCHEMA), 3)
+    tables.apply(spark.createDataFrame([], BATCH_SCHEMA), 4)
+    check(tables, rows + quiet + late + tied, 5)
+
+    plan = tables._above_cut(spark.createDataFrame(rows, BATCH_SCHEMA), 5)
+    assert "EqualTo(place,5)" in plan._jdf.queryExecution().toString()
+
+
+def test_fewer_recent_rows_are_kept_from_an_older_base(spark, folder):
+    rows = [r for r in events(200, seed=3)]
+    accounts = spark.createDataFrame([(a, Decimal(100)) for a in ("hot", "a", "b", "c")], "account_id string, current_balance decimal(18,2)")
+    root = folder()
+    StreamTables(spark, root, accounts, keep=9, compact_every=1).apply(spark.createDataFrame(rows[:120], BATCH_SCHEMA), 0)
+    tables = StreamTables(spark, root, accounts, keep=4, compact_every=1)
+    check(tables, rows[:120], 4)
+    tables.apply(spark.createDataFrame(rows[120:], BATCH_SCHEMA), 1)
+    check(tables, rows, 4)

@@ -10,11 +10,11 @@ to the same result.
     unusable/batch=N    rows of batch N that lack a required value or have an unknown type
     ledger/batch=N      rows of batch N whose transaction id is new
     balances/batch=N    net change and latest event per account touched by N
-    recent/batch=N      newest rows per account within N
+    recent/batch=N      newest rows per account within N, but for those below the last base's cut
     parked/batch=N      rows that wait for their account since N, and those that stopped waiting
     released/batch=N    earlier rows applied by N, because their account is there now
     ledger_ids/upto=N, balances/upto=N, recent/upto=N, parked/upto=N
-                        everything up to N, merged
+                        everything up to N, merged; recent rows with their place in the account
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +61,7 @@ RECENT_COLUMNS = (
     "updated_at",
 )
 RECENT_SCHEMA = ARRIVED_SCHEMA
+RECENT_BASE_SCHEMA = f"{RECENT_SCHEMA}, place int"
 ID_SCHEMA = "transaction_id string"
 
 
@@ -201,7 +203,7 @@ class StreamTables:
             F.lit(batch_id).alias("as_of"),
         )
         self._write(changes, BALANCE_SCHEMA, self._batch("balances", batch_id))
-        newest = top_per_key(valid, ["account_id"], _newest(), self.keep)
+        newest = top_per_key(self._above_cut(valid, batch_id), ["account_id"], _newest(), self.keep)
         self._write(newest, RECENT_SCHEMA, self._batch("recent", batch_id))
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
@@ -263,7 +265,7 @@ class StreamTables:
         """
         merges = [
             ("balances", BALANCE_SCHEMA, self._merge_changes),
-            ("recent", RECENT_SCHEMA, self._merge_recent),
+            ("recent", RECENT_BASE_SCHEMA, self._merge_recent),
             ("parked", PARKED_SCHEMA, self._merge_parked),
         ]
         if not self.keyed:
@@ -313,9 +315,47 @@ class StreamTables:
         parts = self._read(PARKED_SCHEMA, "parked", "parked", before)
         return parts.where("not gone").join(parts.where("gone").select("transaction_id"), "transaction_id", "left_anti")
 
+    def _recent_parts(self, before: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+        """The last base of recent rows, and the increments after it, if any."""
+        older, newer = self._parts("recent", "recent", before)
+        base, added = empty_frame(self.spark, RECENT_BASE_SCHEMA), None
+        if older:
+            base = self.spark.read.schema(RECENT_BASE_SCHEMA).parquet(*older)
+        if newer:
+            added = self.spark.read.schema(RECENT_SCHEMA).parquet(*newer)
+        return base, added
+
+    def _above_cut(self, rows: DataFrame, before: int) -> DataFrame:
+        """``rows`` without those that ``keep`` rows of the last base precede.
+
+        An account's cut is its row at place ``keep``: one row of the base, found by a pushed filter.  Rows below
+        it can never be shown again, as a base's rows give way to newer ones only.  They go before the rows
+        are ranked.
+        """
+        base, _ = self._recent_parts(before)
+        cuts = base.where(F.col("place") == self.keep).select(
+            "account_id", F.col("transaction_timestamp").alias("_cut_at"), F.col("transaction_id").alias("_cut_id")
+        )
+        newer = "_cut_at IS NULL OR transaction_timestamp > _cut_at"
+        tied = "transaction_timestamp = _cut_at AND transaction_id < _cut_id"
+        held = rows.join(matching(cuts, rows, "account_id"), "account_id", "left")
+        return held.where(f"{newer} OR ({tied})").drop("_cut_at", "_cut_id")
+
     def _merge_recent(self, before: int | None = None) -> DataFrame:
-        parts = self._read(RECENT_SCHEMA, "recent", "recent", before)
-        return top_per_key(parts, ["account_id"], _newest(), self.keep)
+        """The newest ``keep`` rows of each account with their place.
+
+        Only accounts with rows since the base are ranked anew; those of the others are taken over as they lie.
+        """
+        base, added = self._recent_parts(before)
+        # a base of an earlier version has no places, and its rows have been cut already
+        base = base.where(f"coalesce(place, 0) <= {int(self.keep)}")
+        if added is None:
+            return base
+        touched = added.select("account_id").distinct()
+        held = base.join(touched, "account_id", "left_semi").drop("place").unionByName(added)
+        place = F.row_number().over(W.partitionBy("account_id").orderBy(*_newest()))
+        ranked = held.withColumn("place", place).where(F.col("place") <= self.keep)
+        return base.join(touched, "account_id", "left_anti").unionByName(ranked)
 
     def current_balances(self) -> DataFrame:
         """One row per account that has had an event, those that have left the accounts included."""
