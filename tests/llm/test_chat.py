@@ -58,6 +58,54 @@ def test_windows_keep_system_and_budget(spark):
     assert rows[1].new_from > len("<|system|>\nbe brief<|end|>\n")
 
 
+def tokens(role, text):
+    return -(-len(f"<|{role}|>\n{text}<|end|>\n".encode()) // 4)
+
+
+def plain_windows(own, budget, history):
+    """Brute force for texts without control strings: for each window its lead, repeated and new turns."""
+    sizes = [tokens(r, t) for r, t in own]
+    begins = [sum(sizes[:i]) for i in range(len(own))]
+    system = [i for i, (r, _) in enumerate(own) if r == "system"]
+    room = max(budget - history - sum(sizes[i] for i in system), budget // 8)
+    out, upto, stretch = [], -1, None
+    for i in range(len(own)):
+        border, stretch = begins[i] // (16 * budget) != stretch, begins[i] // (16 * budget)
+        if border or begins[i] + sizes[i] > upto:
+            upto = begins[i] + (budget if i == 0 else room)
+            past = [j for j in range(i) if begins[j] >= begins[i] - history and own[j][0] != "system"]
+            out.append((system[:1] if system and system[0] < i else [], past, []))
+        out[-1][2].append(i)
+    return out
+
+
+@pytest.mark.parametrize("budget, history", [(200, 40), (1024, 192)])
+def test_windows_against_brute_force(spark, budget, history):
+    rng = random.Random(11)
+    rows = []
+    for conv in range(25):
+        for turn in range(rng.choice([3, 40, 400])):
+            role = "system" if turn == (0 if conv % 2 else 5) else ("user", "assistant")[turn % 2]
+            long = budget * 5 if rng.random() < 0.02 else budget
+            rows.append((conv, turn, role, "x" * rng.randrange(long), "", 0))
+    # turns of 400 and 900 tokens do not share a window
+    rows += [(90, 0, "user", "u" * 1580, "", 0), (90, 1, "assistant", "a" * 3580, "", 0)]
+    rows += [(91, t, "system", "", "", 0) for t in range(3000)]
+    got = {}
+    for r in chat_windows(spark.createDataFrame(rows, SCHEMA), budget, history).orderBy("conv_id", "window").collect():
+        got.setdefault(r.conv_id, []).append((r.formatted, r.new_from, len(r.loss)))
+    for conv, windows in got.items():
+        own = [(x[2], x[3]) for x in sorted((x for x in rows if x[0] == conv), key=order)]
+        wanted = []
+        for lead, past, new in plain_windows(own, budget, history):
+            before, fresh = ["".join(f"<|{own[j][0]}|>\n{own[j][1]}<|end|>\n" for j in part) for part in (lead + past, new)]
+            wanted.append((before + fresh, len(before), sum(own[j][0] == "assistant" for j in new)))
+            spent = sum(tokens(*own[j]) for j in lead + past + new)
+            assert spent <= budget or len(new) == 1
+        assert windows == wanted
+    assert len(got[90]) == 2
+
+
 def test_escape(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 8))) for _ in range(800)]

@@ -62,14 +62,17 @@ def running_totals(
 ) -> DataFrame:
     """Distributed prefix sums: for each of ``values`` the sum over all rows before.
 
-    Rows are ranged by (``by``, ``order``) and stored with the number of their range.  Each range is
-    summed on its own and shifted by the totals of the ranges below, so a group that holds most rows is
-    spread over many tasks.  Adds ``<v>_before`` and ``<v>_total``, both within the group ``by``.  Null
-    values count as 0, null keys form a group of their own.  Rows that agree in every order column are
-    interchangeable: they get consecutive places.
+    Rows are numbered and stored, so that what leads to them runs once although ranging samples its input, then
+    ranged by (``by``, ``order``) and that number and stored with the number of their range.  Each range is
+    summed on its own and shifted by the totals of the ranges below, so a group that holds most rows, or
+    rows of one content that do, are spread over many tasks.  Adds ``<v>_before`` and ``<v>_total``, both
+    within the group ``by``.  Null values count as 0, null keys form a group of their own.  Rows that agree
+    in every order column are interchangeable: they get consecutive places.
     """
     n = partitions(df.sparkSession)
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in (*by, *order)])
+    numbered = store(df.withColumn("_row", F.monotonically_increasing_id()), f"{label}-rows")
+    order = (*order, "_row")
+    ranged = numbered.repartitionByRange(n, *[F.col(c) for c in (*by, *order)])
     stored = store(ranged.withColumn("_part", F.spark_partition_id()), label)
     totals = stored.groupBy("_part", *by).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_t_{v}") for v in values])
     below = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -382,7 +382,7 @@ def repair_conversations(turns: DataFrame, chunk_rows: int = CHUNK_ROWS, fix_ups
         *same, "conv_id", "n", "blank", "fresh", "ended", F.lit(1).cast("long").alias("one"),
         F.char(F.lit(FIRST_SYMBOL) + number + 4 * kind).alias("symbol"),
     )
-    placed = running_totals(store(judged, "turns-judged"), ("turn", "role", "digest"), ("one",), by=("_conv",), label="turns-placed")
+    placed = running_totals(judged, ("turn", "role", "digest"), ("one",), by=("_conv",), label="turns-placed")
     placed = placed.drop("one", "one_total").withColumnRenamed("one_before", "place")
     placed = store(placed.withColumn("chunk", F.expr(f"place div {chunk_rows}")), "turns-placed")
     lists = placed.groupBy("_conv", "chunk").agg(F.sort_array(F.collect_list(F.struct("place", "symbol"))).alias("rows"))
