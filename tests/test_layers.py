@@ -133,6 +133,27 @@ def test_unique_columns_hold_when_rechecked(spark, sources, folder):
     assert ("star", "fact_transactions", 5, 5) in log.tables
 
 
+@pytest.mark.parametrize("table", ["customers", "accounts", "transactions"])
+def test_repeated_keys_stop_the_run_without_a_shuffle_for_them(spark, sources, folder, monkeypatch, table):
+    """A typed table whose key is not unique is refused by the sort that numbers it."""
+    real = getattr(layers, f"typed_{table}")
+    monkeypatch.setattr(layers, f"typed_{table}", lambda *a, **k: real(*a, **k).union(real(*a, **k).limit(1)))
+    root = folder()
+    with pytest.raises(ContractError) as stopped:
+        layers.run_layers(spark, sources(), root, RUN)
+    key = f"{table[:-1]}_id"
+    assert stopped.value.violations == [(key, "unique", 2)]
+    with pytest.raises(FileNotFoundError):
+        LayerStore(spark, root, "x").latest("star", "dim_customers")
+
+
+def test_a_dimension_ends_at_its_number_of_rows(spark, folder):
+    store, rows = LayerStore(spark, folder(), "b"), spark.range(1, 5).selectExpr("id AS k")
+    assert store.write(rows, "star", "t", dense="k").rows == 4
+    with pytest.raises(ContractError):
+        store.write(rows.where("k <> 2"), "star", "u", dense="k")
+
+
 def test_guaranteed_columns_are_not_proved_again(spark, folder):
     twice = spark.range(4).selectExpr("id % 2 AS k", "'a' AS v")
     with pytest.raises(ContractError):

@@ -3,12 +3,13 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tierwright.operators import audit, contracts, dedup, drift, flatten, integrity, profile
 from tierwright.operators import quality, reconcile
 from tierwright.operators import keys as keys_module
-from tierwright.operators.keys import _literal_array, bucket_of, dense_keys
+from tierwright.operators.keys import REPEATED_KEY, _literal_array, bucket_of, dense_keys
 from tierwright.plans import contracts as C
 
 # dedup ----------------------------------------------------------------------
@@ -86,6 +87,20 @@ def test_rank_prunes_before_the_shuffle(skewed):
 # keys -----------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+@pytest.mark.parametrize("cast", ["string", "bigint"])
+def test_numbering_refuses_a_repeated_key(spark, folder, buckets, cast):
+    path = folder()
+    spark.range(500).selectExpr(f"cast(id as {cast}) AS k").write.parquet(path)
+    once = spark.read.parquet(path)
+    assert dense_keys(once, "k", "sk", buckets=buckets).agg(F.max("sk"), F.countDistinct("sk")).first()[:] == (500, 500)
+    twice = once.union(once.where("k = '321'"))
+    with pytest.raises(PySparkException, match=REPEATED_KEY):
+        dense_keys(twice, "k", "sk", buckets=buckets).collect()
+    nulls = once.union(spark.sql(f"select cast(null as {cast}) k from range(3)"))
+    assert dense_keys(nulls, "k", "sk", buckets=buckets).agg(F.countDistinct("sk")).first()[0] == 503
+
+
 @pytest.mark.parametrize("n_cuts", [0, 1, 2, 3, 7, 8, 13])
 def test_bucket_of(spark, n_cuts):
     cuts = [10 * (i + 1) for i in range(n_cuts)]

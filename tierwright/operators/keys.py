@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,6 +26,10 @@ SAMPLES_PER_BUCKET = 20
 BUCKET_SCALE = 900
 
 
+# Part of the message of a task that meets one natural key twice.
+REPEATED_KEY = "natural key is repeated"
+
+
 class KeyCollision(RuntimeError):
     """Two natural keys have one hashed key."""
 
@@ -78,7 +83,10 @@ def dense_keys(
 ) -> DataFrame:
     """Prepend ``name``: 1..n in ``natural_key`` order.
 
-    ``natural_key`` must be unique and of text or integer type.  Runs two light
+    ``natural_key`` must be of text or integer type, and unique: equal keys fall into one bucket, where they
+    are neighbours, so the task that numbers them fails with ``REPEATED_KEY``.  A bucket that has more rows than
+    were counted, whose numbers would run into the next one's, fails likewise.  What comes out is therefore
+    proved unique, both columns, by the sort that numbers it.  Runs two light
     jobs over that column alone (cut points, rows per bucket), so call it on a
     stored table; the driver sees some twenty sampled values per bucket.  ``rows`` saves
     counting when the number of rows is known, and ``buckets`` overrides what follows from it.
@@ -96,16 +104,20 @@ def dense_keys(
     if cuts:
         per_bucket = df.select(bucket.alias("bucket")).groupBy("bucket").count()
         sizes = {r["bucket"]: r["count"] for r in per_bucket.collect()}
-    offsets, below = [], 0
-    for b in range(len(cuts) + 1):
-        offsets.append(below)
-        below += sizes.get(b, 0)
+    counts = [sizes.get(b, 0) for b in range(len(cuts) + 1)]
+    offsets = [0, *accumulate(counts)][:-1]
 
-    within = F.row_number().over(W.partitionBy("_bucket").orderBy(natural_key)).cast("bigint")
+    ordered = W.partitionBy("_bucket").orderBy(natural_key)
+    within = F.row_number().over(ordered).cast("bigint")
     offset = F.get(_literal_array(offsets, T.LongType()), F.col("_bucket"))
+    refused = F.lag(natural_key).over(ordered) == F.col(natural_key)
+    if cuts:
+        refused = refused | (within > F.get(_literal_array(counts, T.LongType()), F.col("_bucket")))
+    message = F.lit(f"{natural_key}: {REPEATED_KEY}, or its table has changed")
+    number = F.when(refused, F.raise_error(message).cast("bigint")).otherwise(offset + within)
     # a partition of its own for every bucket, whatever the session's number of shuffle partitions
     placed = df.withColumn("_bucket", bucket).repartitionById(len(cuts) + 1, "_bucket")
-    return placed.select((offset + within).alias(name), *df.columns)
+    return placed.select(number.alias(name), *df.columns)
 
 
 def hashed_keys(df: DataFrame, natural_key: str, name: str) -> DataFrame:

@@ -9,14 +9,16 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwright.functions.literals import small_frame
 from tierwright.operators.audit import new_batch_id, with_audit
-from tierwright.operators.contracts import Contract
+from tierwright.operators.contracts import Contract, enforce_unique
 from tierwright.operators.drift import require_known_keys
 from tierwright.operators.flatten import flatten_structs
 from tierwright.operators.integrity import count_orphans
+from tierwright.operators.keys import REPEATED_KEY
 from tierwright.operators.reconcile import require_conserved, within_tolerance
 from tierwright.plans import contracts as C
 from tierwright.plans.checks import require_star_checks
@@ -47,6 +49,13 @@ SOURCE_SYSTEMS = {
     "transactions": "fintech_events",
 }
 
+# Star table: the typed table whose natural key is numbered for it, and that table's contract.
+NUMBERED = {
+    "dim_customers": ("customers", C.TYPED_CUSTOMERS),
+    "dim_accounts": ("accounts", C.TYPED_ACCOUNTS),
+    "fact_transactions": ("transactions", C.TYPED_TRANSACTIONS),
+}
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -105,7 +114,7 @@ class Run:
     log: RunLog
     audit: dict
     run_date: dt.date | str | None = None
-    recheck_unique: bool = True
+    recheck_unique: bool = False
     settings: Settings = field(default_factory=Settings)
 
     @classmethod
@@ -118,7 +127,7 @@ class Run:
         batch_id: str | None = None,
         ingested_at: dt.datetime | None = None,
         hash_algorithm: str = "xxhash64",
-        recheck_unique: bool = True,
+        recheck_unique: bool = False,
         settings: Settings | None = None,
     ) -> Run:
         batch_id = batch_id or new_batch_id()
@@ -134,10 +143,24 @@ class Run:
     def step(
         self, layer: str, table: str, df: DataFrame, contract: Contract, rows_in: int | None = None
     ) -> int:
-        """Write a table; the number of rows it got."""
+        """Write a table; the number of rows it got.
+
+        Every unique column of a run is a key that is numbered for the star, or such a number, and numbering proves
+        both unique (:func:`tierwright.operators.keys.dense_keys`).  A dimension's numbers must also end at its
+        number of rows.  The fact table's join repeats no row, as the dimensions' keys are unique, and loses
+        none, as its rows are counted.
+        """
         with self.log.timed(f"{layer}.{table}"):
             unique = [] if self.recheck_unique else [c.name for c in contract.columns if c.unique]
-            rows = self.store.write(df, layer, table, contract, guaranteed=unique, publish=False).rows
+            dense = contract.names[0] if table.startswith("dim_") else None
+            try:
+                rows = self.store.write(df, layer, table, contract, guaranteed=unique, publish=False, dense=dense).rows
+            except PySparkException as error:
+                if layer == "star" and REPEATED_KEY in str(error):
+                    # says how many rows share their key
+                    source, typed = NUMBERED[table]
+                    enforce_unique(self.store.read("typed", source), typed)
+                raise
         self.log.tables.append((layer, table, rows if rows_in is None else rows_in, rows))
         return rows
 
@@ -220,8 +243,8 @@ def run_layers(spark: SparkSession, inputs: Inputs, root: str, *args, **options)
 
     Nothing is visible to readers until the last check holds.  Keys that a JSON line
     was not expected to have stop the run, nested ones too.  Unique columns are
-    proved unique from the written tables; ``recheck_unique=False`` trusts the plan,
-    which makes them so, and saves one shuffle per column.  Further arguments are
+    proved unique by the sort that numbers them; ``recheck_unique=True`` proves them once
+    more from the written tables, with a shuffle per column.  Further arguments are
     those of :meth:`Run.begin`.
     """
     run = Run.begin(spark, inputs, root, *args, **options)

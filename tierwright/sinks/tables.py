@@ -140,6 +140,7 @@ class LayerStore:
         partition_by: Sequence[str] = (),
         guaranteed: Sequence[str] = (),
         publish: bool = True,
+        dense: str | None = None,
     ) -> Written:
         """Write, check, publish; without ``publish`` it waits for :meth:`publish_batch`.
 
@@ -149,7 +150,8 @@ class LayerStore:
 
         Proving a column unique shuffles all its values.  ``guaranteed`` names
         columns that the plan of ``df`` already makes unique (a deduplication key, a
-        surrogate key), for which that would only repeat the work.
+        surrogate key), for which that would only repeat the work.  ``dense`` names a
+        surrogate key that must go from 1 to the number of rows, seen while writing.
         """
         path = self.path(layer, table)
         if contract:
@@ -160,11 +162,16 @@ class LayerStore:
         metrics = [F.count(F.lit(1)).alias("rows")]
         if contract:
             metrics.append(breaching_rows(contract, df.columns).alias("breaches"))
+        if dense:
+            metrics += [F.min(dense).alias("lowest"), F.max(dense).alias("highest")]
         write_table(df.observe(seen, *metrics), path, partition_by=partition_by, fmt=self.fmt)
         if not partition_by:
             # partition columns move to the end and are typed by their folder names
             self.schemas[(layer, table)] = df.schema
         counts = seen.get
+        rows = counts.get("rows") or 0
+        if dense and rows and (counts["lowest"], counts["highest"]) != (1, rows):
+            raise ContractError(contract.name if contract else table, [(dense, "dense", 1)])
         if contract:
             stored = self.read(layer, table)
             if counts.get("breaches"):
@@ -172,4 +179,4 @@ class LayerStore:
             enforce_unique(stored, contract, skip=guaranteed)
         if publish:
             mark(self.spark, f"{path}/{PUBLISHED}")
-        return Written(path, counts.get("rows") or 0)
+        return Written(path, rows)
