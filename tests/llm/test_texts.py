@@ -35,6 +35,43 @@ def test_quality_counts(spark):
         assert not (r.kept and r.base_failed)
 
 
+def written(rng, first, letters, lengths, size):
+    """Made-up prose of a script: Zipf-weighted words of its letters, up to ``size`` bytes."""
+    words = ["".join(chr(first + rng.randrange(letters)) for _ in range(rng.choice(lengths))) for _ in range(8000)]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    text = ""
+    while len(text.encode()) < size:
+        text += " ".join(rng.choices(words, weights, k=12)) + ". "
+    return text
+
+
+@pytest.mark.parametrize("size", [543, 1374, 2133, 3822, 8187, 21_876, 48_930])
+def test_bands_keep_scripts_of_several_bytes_a_letter(size):
+    import zstandard
+
+    z = zstandard.ZstdCompressor(level=3)
+    # characters of Han, syllables of Hangul, letters of Cyrillic
+    for first, letters, lengths in ((0x4E00, 3500, (1, 2, 2, 3)), (0xAC00, 2000, (2, 3, 4)), (0x430, 32, (3, 5, 7, 9))):
+        for seed in range(6):
+            rng = random.Random(seed)
+            assert quality.compression(written(rng, first, letters, lengths, size), z)[2], (first, seed)
+            noise = "".join(chr(first + rng.randrange(letters)) for _ in range(size // 3))
+            if letters > 1000 and size >= 2133 * 3 // 2:
+                assert not quality.compression(noise, z)[2], (first, seed)
+
+
+def test_lower_limit_follows_the_bytes_of_a_character():
+    assert quality.lower_limit(1.75, b"abc") == 1.75
+    assert quality.lower_limit(1.75, "жжж".encode()) == pytest.approx(1 + 0.75 * 0.88)
+    assert quality.lower_limit(1.75, "汉字".encode()) == pytest.approx(1 + 0.75 * 0.76)
+    assert quality.lower_limit(1.75, "汉字".encode()[1:2]) > 1  # a chunk that cuts a character
+
+
+def test_quality_of_an_empty_table(spark):
+    judged, q = quality.apply_quality(spark.createDataFrame([], "doc_id long, text string"))
+    assert judged.select(f"{q}.*").count() == 0
+
+
 def test_compression_bands():
     import zstandard
 

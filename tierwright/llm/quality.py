@@ -21,6 +21,9 @@ CHUNK_BYTES = 2048
 CHUNK_BAND = (1.4, 3.6)
 REST_BYTES = 512  # a shorter rest of a chunked text is too small a share of it to decide
 BAD_CHUNKS = 0.3
+# What a lower limit asks for beyond 1 shrinks by this share for each byte of a character beyond the first: a
+# script of many characters says more in each, and its clean text compresses less.
+SCRIPT_SHARE = 0.12
 SYMBOLS = "#*$%&|<>"
 # White space to str.split that is no word border here.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -65,6 +68,15 @@ def chunk_limit(n: int) -> float:
     return CHUNK_BAND[0] if n == CHUNK_BYTES else [b for b in BANDS if n >= b[0]][-1][1]
 
 
+def lower_limit(limit: float, data: bytes) -> float:
+    """``limit``, which holds for one byte a character, for the bytes that ``data`` takes a character."""
+    if data.isascii():
+        return limit
+    # every byte but a continuation starts a character
+    chars = int(np.count_nonzero(np.frombuffer(data, dtype=np.uint8) & 0xC0 != 0x80))
+    return 1 + (limit - 1) * (1 - SCRIPT_SHARE * (len(data) / max(chars, 1) - 1))
+
+
 def compression(text: str, compressor) -> tuple[float, float, bool]:
     """Whole ratio, share of chunked bytes outside their band, and whether the document stays in its bands."""
     data = text.encode("utf-8", "surrogatepass")
@@ -75,9 +87,12 @@ def compression(text: str, compressor) -> tuple[float, float, bool]:
     chunks = [data[k : k + CHUNK_BYTES] for k in range(0, len(data), CHUNK_BYTES)]
     # a text of less than a chunk is judged whole; a rest has a lower limit for its own length
     judged = [c for c in chunks if len(c) == CHUNK_BYTES or len(data) > CHUNK_BYTES and len(c) >= REST_BYTES]
-    bad = sum(len(c) for c in judged if not chunk_limit(len(c)) <= len(c) / len(compressor.compress(c)) <= CHUNK_BAND[1])
+    bad = 0
+    for c in judged:
+        if not lower_limit(chunk_limit(len(c)), c) <= len(c) / len(compressor.compress(c)) <= CHUNK_BAND[1]:
+            bad += len(c)
     share = bad / sum(map(len, judged)) if judged else 0.0
-    return ratio, share, low <= ratio <= high and share <= BAD_CHUNKS
+    return ratio, share, lower_limit(low, data) <= ratio <= high and share <= BAD_CHUNKS
 
 
 def measure(text: str | None, compressor) -> tuple:
@@ -95,7 +110,7 @@ def quality(text: Column | str) -> Column:
     """Struct of counts and verdict for one text column.
 
     A null or empty text counts nothing and fails the base rule.  ``kept`` needs the base rule and the
-    compression ratios of the whole text and of its 2,048-byte chunks within their bands.  Each text is
+    compression ratios of the whole text and of its 2,048-byte chunks within their bands, whose lower limits follow the bytes a character.  Each text is
     judged alone, whole and in one pass, so order, ties and repeated rows do not matter; a very long text
     costs memory in proportion to itself.
     """
