@@ -1,0 +1,82 @@
+"""What queries over whole tables store and move, beyond their results."""
+
+import glob
+from pathlib import Path
+
+import pytest
+
+from __spark_entry__ import SMOKE_DIR
+from tierwright.operators import quality
+from tierwright.plans import catalog
+from tierwright.plans import quality as Q
+from tierwright.sinks.tables import write_table
+
+pytestmark = pytest.mark.skipif(not Path(SMOKE_DIR).is_dir(), reason="test tables not present")
+
+RULES = quality.load_rules()
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_transactions_are_deduplicated_after_one_narrow_shuffle(spark):
+    plan = plan_of(catalog.QUERIES["silver_transactions"](spark, SMOKE_DIR))
+    assert plan.count("Exchange ") == 1
+    below = plan[plan.index("Exchange ") :]
+    # neither digests nor sorts before it
+    assert "sha2" not in below and "Sort " not in below and "WindowGroupLimit" not in below
+
+
+def test_source_lines_are_compressed_and_cut(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_ROWS", 500)
+    monkeypatch.setattr(catalog, "_built", {})
+    path = catalog.json_lines(spark, SMOKE_DIR)
+    files = glob.glob(f"{path}/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    rows = spark.read.parquet(f"{SMOKE_DIR}/lineitem.parquet").count()
+    assert len(files) >= rows / 500 and spark.read.text(path).count() == rows
+
+
+def test_stored_tables_are_compressed_well(spark, folder):
+    path = write_table(spark.range(10), folder())
+    assert all(".zstd." in f for f in glob.glob(f"{path}/part-*"))
+
+
+def test_accounts_by_province_build_no_fact_table(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_built", {})
+
+    def refuse(*_, **__):
+        raise AssertionError("the fact table is not needed")
+
+    monkeypatch.setattr(catalog, "typed_transactions", refuse)
+    assert catalog.QUERIES["q3_province"](spark, SMOKE_DIR).count() > 0
+
+
+def test_rows_kept_out_are_survivors_that_are_not_loaded(spark):
+    rows = [
+        ("a", 1, "h1", "load", None, []),
+        ("a", 0, "h0", "quarantine", "X", ["DATE_FORMAT"]),
+        ("b", 1, "h2", "quarantine", "X", ["DATE_FORMAT"]),
+        ("b", 0, "h3", "reject", "Y", ["NULL_REQUIRED"]),
+        (None, 0, "h4", "reject", "Y", ["NULL_REQUIRED"]),
+        (None, 0, "h4", "reject", "Y", ["NULL_REQUIRED"]),
+        ("c", 0, "h5", "load", None, []),
+    ]
+    schema = "transaction_id string, _ingested_at int, _source_row_hash string, handling string, reason string, issues array<string>"
+    marked = spark.createDataFrame(rows, schema)
+    out = Q.kept_out(marked, RULES)
+    expected = Q.survivors(marked, RULES).where("handling <> 'load'")
+    assert sorted(out.collect(), key=str) == sorted(expected.collect(), key=str)
+    assert out.count() == 3
+    told = Q.conservation(marked, RULES).first().asDict()
+    assert told == {"rows_in": 7, "loaded": 2, "quarantined": 0, "rejected": 3, "deduped": 2, "conserved": True}
+
+
+def test_marked_rows_are_not_stored_whole(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog, "_built", {})
+    monkeypatch.setattr(catalog, "stored", lambda df, label: written.append(df.columns) or df)
+    for name in ("dq_report", "dq_reconcile", "dq_apply", "row_conservation"):
+        catalog.QUERIES[name](spark, SMOKE_DIR)
+    assert written == [["transaction_id", "issues"]]

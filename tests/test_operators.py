@@ -353,3 +353,25 @@ def test_conservation():
     reconcile.require_conserved("t", 10, loaded=7, quarantined=3)
     with pytest.raises(reconcile.RowsLost, match="10 rows in, 9"):
         reconcile.require_conserved("t", 10, loaded=9)
+
+
+def test_rows_meet_once_unless_a_key_is_hot(spark):
+    few = spark.range(0, 1000).selectExpr("cast(id % 300 as string) k", "id o", "'x' v")
+    placed = dedup.together(few, ["k"])
+    plan = dedup.keep_first(placed, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    # one shuffle, below every sort
+    assert plan.count("Exchange ") == 1 and plan.index("Sort ") < plan.index("Exchange ")
+    hot = spark.range(0, 400_000).selectExpr("cast(if(id % 3 = 0, -1, id) as string) k", "id o")
+    assert dedup.has_hot_key(hot, ["k"]) and not dedup.has_hot_key(few, ["k"])
+    assert dedup.together(hot, ["k"]) is hot
+
+
+@pytest.mark.parametrize("placed", [None, False, True])
+def test_duplicate_losers_are_the_same_however_rows_are_placed(spark, placed):
+    rows = [("a", 1, "x")] * 3 + [("a", 2, "y"), ("b", 1, None), ("b", 1, None), (None, 1, "z"), (None, 2, "z"), ("c", 5, "w")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    got = dedup.duplicate_losers(df, ["k"], ["o"], placed=placed).collect()
+    assert sorted(got, key=str) == sorted([("a", 1, "x", 2), ("a", 2, "y", 1), ("b", 1, None, 1), (None, 2, "z", 1)], key=str)
+    if placed is None:
+        plan = dedup.duplicate_losers(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1 and "Join" not in plan
