@@ -80,3 +80,30 @@ def test_marked_rows_are_not_stored_whole(spark, monkeypatch):
     for name in ("dq_report", "dq_reconcile", "dq_apply", "row_conservation"):
         catalog.QUERIES[name](spark, SMOKE_DIR)
     assert written == [["transaction_id", "issues"]]
+
+
+def test_written_tables_leave_no_shuffle_files(spark, folder):
+    from tierwright.session import DROP_SHUFFLES, run_together
+
+    seen = []
+
+    def write():
+        df = spark.range(1000).selectExpr("id % 7 k").groupBy("k").count()
+        write_table(df, folder())
+        seen.append(1)
+
+    before = spark.conf.get(DROP_SHUFFLES)
+    run_together(spark, write, write, write)
+    assert len(seen) == 3 and spark.conf.get(DROP_SHUFFLES) == before
+
+
+def test_stream_stores_and_batches_follow_the_events(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_built", {})
+    assert catalog.stream_scale(spark, SMOKE_DIR) == (1, spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(catalog, "_built", {})
+    monkeypatch.setattr(catalog, "FILE_EVENTS", 50)
+    monkeypatch.setattr(catalog, "STORE_EVENTS", 50)
+    events = spark.read.parquet(f"{SMOKE_DIR}/events.parquet").count()
+    scale, stores = catalog.stream_scale(spark, SMOKE_DIR)
+    assert scale == -(-events // 200) > 1 and stores == -(-events // 50) > 8
+    assert len(glob.glob(f"{catalog.event_lines(spark, SMOKE_DIR)}/part-*")) == 2 * 4 * scale
