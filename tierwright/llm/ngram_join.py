@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import comb
 
@@ -29,7 +29,8 @@ MAX_FREQUENT = 1_000_000  # bound of the broadcast: 8 MB
 SHORT_LIST = 48
 # A long list is compared in blocks of at most so many sets and about so many elements.
 BLOCK_SETS, BLOCK_ELEMENTS = 2_000, 1_000_000
-VOCABULARY = 4_096  # columns of a block's matrix at a time
+VOCABULARY = 1_024  # columns of a block's matrix at a time
+STRIP = 256  # rows of a block whose links are looked at together
 
 
 
@@ -67,31 +68,46 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Words(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+# Words that are hashed and mixed together, and elements that are dealt over buckets together: more only takes memory.
+CHUNK_WORDS = 50_000
+GATHERED = 3_000_000
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 300_000:
-            self[word] = value
-        return value
 
+def _grams(words: list[bytes], ends: list[int], words_each: int) -> Iterator[np.ndarray]:
+    """Sorted distinct n-gram hashes of each stretch of ``words``, whose ends are given."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype="uint64", count=len(words))
+    n = max(0, len(h) - words_each + 1)
+    sums = np.zeros(n, dtype="uint64")
+    for k in range(words_each):
+        sums += _finish(h[k : k + n] + _MIX[k]) * _MIX[k]
+    grams, start = _finish(sums), 0
+    for end in ends:
+        if end - start >= words_each:
+            own = np.sort(grams[start : end - words_each + 1])
+            yield own[np.append(True, own[1:] != own[:-1])]
+        elif end > start:
+            short = h[start:end]
+            yield _finish(sum((short[k : k + 1] * _MIX[k] for k in range(len(short))), np.full(1, len(short), dtype="uint64")))
+        else:
+            yield np.zeros(0, dtype="uint64")
+        start = end
 
-def shingle_set(text: str | None, known: Words, words_each: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's word n-grams; A-Z are lower-cased, nothing else."""
-    if not text:
-        return np.zeros(0, dtype="uint64")
-    # on UTF-8 bytes, lower() and split() know ASCII only: exactly A-Z and the six white-space characters
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype="uint64")
-    h = np.fromiter(map(known.__getitem__, words), dtype="uint64", count=len(words))
-    if len(h) < words_each:
-        sums = sum((h[k : k + 1] * _MIX[k] for k in range(len(h))), np.full(1, len(h), dtype="uint64"))
-        return _finish(sums)
-    n = len(h) - words_each + 1
-    sums = sum((_finish(h[k : k + n] + _MIX[k]) * _MIX[k] for k in range(words_each)), np.zeros(n, dtype="uint64"))
-    return np.unique(_finish(sums))
+
+def shingle_sets(texts: Iterable[str | None], words_each: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's word n-grams; A-Z are lower-cased, nothing else.
+
+    Texts are hashed together, ``CHUNK_WORDS`` words at a time, as most have few words.
+    """
+    words, ends = [], []
+    for text in texts:
+        # on UTF-8 bytes, lower() and split() know ASCII only: exactly A-Z and the six white-space characters
+        if text:
+            words += text.encode("utf-8", "surrogatepass").lower().split()
+        ends.append(len(words))
+        if len(words) >= CHUNK_WORDS:
+            yield from _grams(words, ends, words_each)
+            words, ends = [], []
+    yield from _grams(words, ends, words_each)
 
 
 def digest(elements: np.ndarray) -> int:
@@ -99,10 +115,9 @@ def digest(elements: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(elements.tobytes())).astype("int64"))
 
 
-def _sets(batch_texts, known: Words, seen: set[int], words_each: int):
+def _sets(batch_texts, seen: set[int], words_each: int):
     """(set, name) of texts whose set has not come up in this task yet."""
-    for text in batch_texts:
-        elements = shingle_set(text, known, words_each)
+    for elements in shingle_sets(batch_texts, words_each):
         if len(elements):
             name = digest(elements)
             if name not in seen:
@@ -111,6 +126,21 @@ def _sets(batch_texts, known: Words, seen: set[int], words_each: int):
                 yield elements, name
 
 
+def _gathered(batches: Iterator[pd.DataFrame], words_each: int) -> Iterator[list[tuple[np.ndarray, int]]]:
+    """What :func:`_sets` has of a task's texts, some ``GATHERED`` elements at a time, however its rows come in."""
+    seen: set[int] = set()
+    run, n = [], 0
+    for batch in batches:
+        for elements, name in _sets(batch["text"], seen, words_each):
+            run.append((elements, name))
+            n += len(elements)
+            if n >= GATHERED:
+                yield run
+                run, n = [], 0
+    if run:
+        yield run
+
+
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(n) >> np.uint64(32)).astype("int64")
 
@@ -132,15 +162,14 @@ def name_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, text_hash, n_shingles, name): the size and name of every document's set; name null for an empty set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Words()
         for batch in batches:
-            sets = [shingle_set(t, known, rule.words) for t in batch["text"]]
+            sets = [(len(s), digest(s) if len(s) else None) for s in shingle_sets(batch["text"], rule.words)]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "text_hash": batch["text_hash"],
-                    "n_shingles": np.asarray([len(s) for s in sets], dtype="int64"),
-                    "name": pd.array([digest(s) if len(s) else None for s in sets], dtype="Int64"),
+                    "n_shingles": np.asarray([n for n, _ in sets], dtype="int64"),
+                    "name": pd.array([name for _, name in sets], dtype="Int64"),
                 }
             )
 
@@ -175,11 +204,8 @@ def frequent_elements(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, float]:
         import zstandard
 
         compressor = zstandard.ZstdCompressor(level=1)
-        known, seen = Words(), set()
-        for batch in batches:
-            found = [s >> shift for s, _ in _sets(batch["text"], known, seen, rule.words)]
-            if not found:
-                continue
+        for sets in _gathered(batches, rule.words):
+            found = [s >> shift for s, _ in sets]
             keys, counts = np.unique(np.concatenate(found), return_counts=True)
             at = np.append(np.searchsorted(keys, borders), len(keys))
             rows = []
@@ -272,10 +298,9 @@ def file_sets(docs: DataFrame, order: Broadcast, boundary: int, rule: Rule) -> D
     n = partitions(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen = Words(), set()
-        for batch in batches:
+        for sets in _gathered(batches, rule.words):
             keys, names, sizes, weights = [], [], [], []
-            for elements, name in _sets(batch["text"], known, seen, rule.words):
+            for elements, name in sets:
                 if rule.can_link(len(elements)):
                     own, weight = posting_keys(elements, order.value, boundary, rule)
                     keys.append(own)
@@ -363,11 +388,9 @@ def rebuilt_sets(names: DataFrame, docs: DataFrame, named: DataFrame, rule: Rule
     texts = keyed.join(chosen.distinct(), ["id_text", "text_hash"], "left_semi")
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Words()
         for batch in batches:
-            sets = [shingle_set(t, known, rule.words) for t in batch["text"]]
-            sets = [s for s in sets if len(s)]
-            yield pd.DataFrame({"name": [digest(s) for s in sets], "elements": [s.tobytes() for s in sets]}).astype({"name": "int64"})
+            sets = [(digest(s), s.tobytes()) for s in shingle_sets(batch["text"], rule.words) if len(s)]
+            yield pd.DataFrame(sets, columns=["name", "elements"]).astype({"name": "int64"})
 
     return store(texts.select("text").mapInPandas(rebuild, "name long, elements binary").dropDuplicates(["name"]), "ngram-sets")
 
@@ -401,15 +424,21 @@ def block_links(block: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     shared = counts[inverse] > 1
     owner, column = owner[shared], number[inverse[shared]]
     common = np.zeros((len(sizes), len(sizes)), dtype="float32")
-    for low in range(0, int(column.max(initial=-1)) + 1, VOCABULARY):
-        here = (column >= low) & (column < low + VOCABULARY)
+    strips = [slice(top, top + STRIP) for top in range(0, len(sizes), STRIP)]
+    for first in range(0, int(column.max(initial=-1)) + 1, VOCABULARY):
+        here = (column >= first) & (column < first + VOCABULARY)
         matrix = np.zeros((len(sizes), VOCABULARY), dtype="float32")
-        matrix[owner[here], column[here] - low] = 1
-        common += matrix @ matrix.T
-    linked = rule.links(common, sizes[:, None], sizes[None, :])
-    linked &= component[:, None] < component[None, :]
-    i, j = np.nonzero(linked)
-    a, b = forest(np.minimum(names[i], names[j]), np.maximum(names[i], names[j]))
+        matrix[owner[here], column[here] - first] = 1
+        for rows in strips:
+            common[rows] += matrix[rows] @ matrix.T
+    a, b = np.zeros(0, "int64"), np.zeros(0, "int64")
+    for rows in strips:
+        linked = rule.links(common[rows], sizes[rows, None], sizes[None, :])
+        linked &= component[rows, None] < component[None, :]
+        i, j = np.nonzero(linked)
+        i += rows.start
+        low, high = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
+        a, b = forest(np.concatenate([a, low]), np.concatenate([b, high]))
     return pd.DataFrame({"a": a, "b": b})
 
 
