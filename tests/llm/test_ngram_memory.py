@@ -36,3 +36,14 @@ def test_a_block_is_compared_in_strips_of_bounded_memory():
     # a star around the smallest of either family
     assert sorted(zip(links["a"], links["b"])) == sorted((i % 2, i) for i in range(2, n))
     assert peak < 80e6
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    from tierwright.llm.common import BATCH_BYTES, TEXT_BATCH, small_batches
+
+    session = spark.newSession()
+    small_batches(session)
+    assert session.conf.get(BATCH_BYTES) == TEXT_BATCH
+    session.conf.set(BATCH_BYTES, "1m")
+    small_batches(session)
+    assert session.conf.get(BATCH_BYTES) == "1m"
