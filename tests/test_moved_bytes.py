@@ -82,6 +82,35 @@ def test_marked_rows_are_not_stored_whole(spark, monkeypatch):
     assert written == [["transaction_id", "issues"]]
 
 
+@pytest.mark.parametrize("name", ["dq_reconcile", "dq_apply", "row_conservation"])
+def test_marked_rows_are_derived_after_their_last_shuffle(spark, name):
+    plan = plan_of(catalog.QUERIES[name](spark, SMOKE_DIR))
+    moved = plan[plan.index("Exchange hashpartitioning") :]
+    assert "concat_ws" in moved and "sha2" not in moved and "to_json" not in moved
+
+
+def test_orphans_of_narrow_rows_are_those_of_whole_rows(spark, folder):
+    import datetime as dt
+    from decimal import Decimal
+
+    from tierwright.operators.integrity import mark_orphans
+    from tierwright.sources import shapes
+
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate date, l_extendedprice decimal(12,2)"
+    day, price = dt.date(2020, 1, 2), Decimal("1.50")
+    # order 1 has an account, 2 has none; part 7 sends an unknown account; one key is null, one row comes twice
+    rows = [(1, 1, 1, 3, day, price), (1, 2, 7, 3, day, price), (2, 1, 1, 3, day, price), (None, 1, 1, 3, day, price)]
+    root = folder()
+    spark.createDataFrame([*rows, rows[0]], line).write.parquet(f"{root}/lineitem.parquet")
+    accounts = spark.createDataFrame([("1",), (None,)], "account_id string")
+    whole = mark_orphans(shapes.transactions(spark, root, dirty=True), "account_id", accounts, "account_id")
+    for by in (None, "transaction_id"):
+        narrow = shapes.transactions(spark, root, dirty=True, by=by, known_accounts=accounts)
+        assert narrow.columns == whole.columns
+        assert sorted(narrow.collect(), key=str) == sorted(whole.collect(), key=str)
+    assert whole.where("is_orphan").count() == 3
+
+
 def test_written_tables_leave_no_shuffle_files(spark, folder):
     from tierwright.session import DROP_SHUFFLES, run_together
 
