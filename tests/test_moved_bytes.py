@@ -4,6 +4,7 @@ import glob
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR
 from tierwright.operators import quality
@@ -136,3 +137,38 @@ def test_stream_stores_and_batches_follow_the_events(spark, monkeypatch):
     scale, stores = catalog.stream_scale(spark, SMOKE_DIR)
     assert scale == -(-events // 200) > 1 and stores == -(-events // 50) > 8
     assert len(glob.glob(f"{catalog.event_lines(spark, SMOKE_DIR)}/part-*")) == 2 * 4 * scale
+
+
+def test_fact_rows_are_deduplicated_and_numbered_with_one_shuffle(spark, monkeypatch):
+    from tierwright.operators import keys
+
+    # a few thousand rows would be one bucket
+    monkeypatch.setattr(keys, "BUCKET_SCALE", 20)
+    plans = []
+    real = catalog.stored
+    monkeypatch.setattr(catalog, "stored", lambda df, label: plans.append((label, plan_of(df))) or real(df, label))
+    fact = catalog.build_star(spark, SMOKE_DIR)["fact"]
+    typed = dict(plans)["typed-transactions"]
+    moves = [line for line in typed.splitlines() if "Exchange " in line]
+    # the second one deals the one split of the small table over the cores
+    assert [("_bucket" in m, "l_orderkey" in m) for m in moves] == [(True, False), (False, True)], moves
+    # and none to number the stored rows
+    assert "_bucket" not in "".join(line for line in plan_of(fact).splitlines() if "Exchange " in line)
+    ids = [r[0] for r in fact.orderBy("transaction_sk").select("transaction_id").collect()]
+    assert ids == sorted(set(ids)) and len(ids) == fact.agg({"transaction_sk": "max"}).first()[0]
+
+
+def test_bucket_numbers_are_dense_keys(spark):
+    from tierwright.operators import keys
+
+    df = spark.createDataFrame([(f"{i * 7919 % 1000}",) for i in range(1000)], "k string")
+    for buckets in (1, 9):
+        placed = keys.number_in_buckets(keys.key_buckets(df, df.k, buckets), "k")
+        assert keys.dense_keys_of_buckets(placed, "sk").columns == ["sk", "k"]
+        got = keys.dense_keys_of_buckets(placed, "sk").collect()
+        assert sorted(got) == sorted(keys.dense_keys(df, "k", "sk").collect())
+    empty = keys.number_in_buckets(keys.key_buckets(df.where("false"), df.k), "k")
+    assert keys.dense_keys_of_buckets(empty, "sk").count() == 0
+    twice = keys.number_in_buckets(keys.key_buckets(df.unionAll(df), F.col("k"), 9), "k")
+    with pytest.raises(Exception, match=keys.REPEATED_KEY):
+        twice.collect()

@@ -58,13 +58,15 @@ def typed_transactions(
     order: Sequence[Column | str] = DEFAULT_ORDER,
     strict_amounts: bool = True,
     province_aliases: Mapping[str, str] | None = None,
+    placed_by: Sequence[str] = (),
 ) -> DataFrame:
     """Losing duplicates are dropped on the raw text, so only winners are parsed.
 
     The timestamp is built from the parsed date, so every accepted date format
     has one.  A currency outside ``currency_codes`` is coerced and flagged.
+    ``placed_by`` are columns that follow from the id and by which the rows already lie.
     """
-    winners = keep_first(raw, ["transaction_id"], order)
+    winners = keep_first(raw, [*placed_by, "transaction_id"], order)
     if province_aliases:
         winners = winners.withColumn("location_province", normalize_code("location_province", province_aliases))
     return (
