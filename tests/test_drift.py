@@ -56,6 +56,30 @@ def test_walking_shuffles_nothing(spark):
     assert "Exchange" not in plan
 
 
+def test_lines_are_parsed_once_and_known_values_left_early(spark):
+    lines = spark.createDataFrame([("{}",)], "value string").repartition(2)
+    plan = drifted_paths(lines, TRANSACTION_JSON)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    tested = next(line for line in text.splitlines() if "from_json" in line)
+    # the line once, its location and metadata once each
+    assert tested.count("from_json") == 3 and "get_json_object" not in text and "jsonObjectKeys" not in text
+    levels = text.count("Generate variant_explode")
+    assert levels == 4 and text.count("Filter NOT (CASE WHEN") == levels
+
+
+def test_texts_that_look_like_objects_or_come_twice(spark):
+    texts = ['{"location":"{}"}', '{"location":{"x":1},"location":{}}', '[{"terminal":1}]', '\t{"terminal":[{"a":1}]}']
+    texts += ['{"terminal":1} and more', '{"location":{"suburb":null}}', '{"location":{"city":{"z":1}}}', '{"a":1']
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = {(r.value, r.path, r.json) for r in drifted_paths(lines, TRANSACTION_JSON).collect()}
+    assert got == {
+        (texts[2], "[0].terminal", "1"),
+        (texts[3], "terminal", '[{"a":1}]'),
+        (texts[4], "terminal", "1"),
+        (texts[5], "location.suburb", "null"),
+    }
+
+
 def write(folder, **files):
     folder.mkdir()
     for name, text in files.items():
