@@ -74,6 +74,30 @@ def test_rows_kept_out_are_survivors_that_are_not_loaded(spark):
     assert told == {"rows_in": 7, "loaded": 2, "quarantined": 0, "rejected": 3, "deduped": 2, "conserved": True}
 
 
+def test_rows_kept_out_are_marked_once(spark):
+    kept = Q.kept_out(catalog.marked_transactions(spark, SMOKE_DIR), RULES)
+    plan = plan_of(kept)
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_partkey" in line]
+    assert len(scans) == 1 and "LeftAnti" not in plan
+    # no filter that repeats what marks a row
+    assert "currency:domain" not in "".join(line for line in plan.splitlines() if "Filter " in line)
+
+
+def test_rows_kept_out_with_many_copies_and_null_columns(spark):
+    rows = [("a", 1, f"h{i}", "quarantine", "X", ["DATE_FORMAT"]) for i in (2, 1, 1)]
+    rows += [("b", None, None, "quarantine", None, ["DATE_FORMAT"]), ("b", 1, "h1", "load", None, [])]
+    rows += [("c", None, None, "reject", None, []), ("c", 0, None, "quarantine", "X", [])]
+    rows += [(None, 0, "h9", "load", None, []), (None, 0, "h9", "quarantine", "X", [])]
+    schema = "transaction_id string, _ingested_at int, _source_row_hash string, handling string, reason string, issues array<string>"
+    marked = spark.createDataFrame(rows, schema)
+    out = Q.kept_out(marked, RULES)
+    expected = Q.survivors(marked, RULES).where("handling <> 'load'")
+    assert out.columns == expected.columns
+    assert sorted(out.collect(), key=str) == sorted(expected.collect(), key=str)
+    got = {r.transaction_id: (r._source_row_hash, r.dq_flag, "DUPLICATE_DEDUPED" in r.issues) for r in out.collect()}
+    assert got == {"a": ("h1", "DUPLICATE_DEDUPED", True), "c": (None, "DUPLICATE_DEDUPED", True), None: ("h9", None, False)}
+
+
 def test_marked_rows_are_not_stored_whole(spark, monkeypatch):
     written = []
     monkeypatch.setattr(catalog, "_built", {})
