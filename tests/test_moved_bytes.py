@@ -196,3 +196,144 @@ def test_bucket_numbers_are_dense_keys(spark):
     twice = keys.number_in_buckets(keys.key_buckets(df.unionAll(df), F.col("k"), 9), "k")
     with pytest.raises(Exception, match=keys.REPEATED_KEY):
         twice.collect()
+
+
+def _odd_transactions():
+    """Copies, clashing copies, rows without id or account, unknown accounts, as source rows with ``amount_is_text``."""
+    from tierwright.plans import contracts as C
+
+    base = dict.fromkeys(C.TRANSACTION_COLUMNS) | {
+        "transaction_date": "2025-06-18", "transaction_time": "11:52:40", "transaction_type": "DEBIT",
+        "amount": "5.00", "currency": "ZAR", "channel": "POS", "location_province": "Gauteng", "metadata_retry_flag": False,
+    }
+
+    def row(key, account="a1", text=False, **changes):
+        return (*(base | {"transaction_id": key, "account_id": account} | changes).values(), text)
+
+    rows = [row(f"t{i:03d}", f"a{i % 7}") for i in range(200)]
+    rows += [row(f"t{i:03d}", f"a{i % 7}", channel="ATM") for i in range(0, 200, 9)]
+    rows += [row(f"t{i:03d}", f"a{i % 7}") for i in range(0, 200, 5)] * 2
+    rows += [row("t001"), row("t001", text=True), row("t002", amount="n/a"), row("t003", "x3"), row("t003", None)]
+    rows += [row("bad", transaction_date="soon"), row("bad", "x1"), row("bad", "x1"), row("bad", transaction_type="GIFT")]
+    rows += [row(None), row(None), row(None, "x9"), row(None, "x9"), row(None, None), row("?a1", "x9"), row("", "a1")]
+    return rows, [f"a{i}" for i in range(6)]
+
+
+def _run_of_odd_transactions(spark, folder):
+    import datetime as dt
+
+    from tierwright.operators.audit import with_audit
+    from tierwright.plans import contracts as C
+    from tierwright.plans import quality_run as R
+    from tierwright.plans.layers import Inputs, Run
+
+    now = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    run = Run.begin(spark, Inputs("", "", ""), folder(), batch_id="b", ingested_at=now, hash_algorithm="sha256")
+    rows, known = _odd_transactions()
+    columns = [f"{c} {'boolean' if c == 'metadata_retry_flag' else 'string'}" for c in C.TRANSACTION_COLUMNS]
+    source = spark.createDataFrame(rows, ", ".join([*columns, "amount_is_text boolean"]))
+    readable = with_audit(source, C.TRANSACTION_COLUMNS, R.SOURCE_SYSTEMS["transactions"], **run.audit)
+    accounts = spark.createDataFrame([(a,) for a in known], "account_id string")
+    placed = Q.with_unlinked(source, Q.unlinked_pairs(source, accounts))
+    return R._Sorted(run), readable, accounts, placed
+
+
+def test_rows_of_a_run_are_assessed_in_buckets_as_whole_rows_are(spark, folder, monkeypatch):
+    from tierwright.operators import keys
+    from tierwright.plans import contracts as C
+    from tierwright.plans import quality_run as R
+
+    monkeypatch.setattr(keys, "BUCKET_SCALE", 5)
+    work, readable, accounts, placed = _run_of_odd_transactions(spark, folder)
+    whole = work.staged(work.mark(readable, accounts), "whole")
+    expected = Q.assess_transactions(whole, RULES)
+    typed = [*C.TYPED_TRANSACTIONS.names, "issues"]
+    for most in (10_000, 90):
+        monkeypatch.setattr(R, "SLICE_ROWS", most)
+        marked, firsts = work.resolved(readable, placed)
+        assert len(firsts) == (1 if most == 10_000 else 5)
+        got = Q.assess_resolved(marked, RULES)
+        for part, columns in (("loaded", typed), ("kept_out", None), ("losers", None), ("report", None)):
+            old, new = getattr(expected, part), getattr(got, part)
+            columns = columns or old.columns
+            assert part == "loaded" or new.columns == old.columns
+            assert sorted(new.select(columns).collect(), key=str) == sorted(old.select(columns).collect(), key=str), part
+            assert new.count() > 0
+        sliced = [Q.assess_resolved(p, RULES).kept_out for p in R.in_slices(marked, firsts)]
+        assert sum(p.count() for p in sliced) == expected.kept_out.count()
+        numbered = keys.dense_keys_of_buckets(got.loaded.select(keys.BUCKET, keys.WITHIN, "transaction_id"), "sk")
+        ids = sorted(r.transaction_id for r in expected.loaded.collect())
+        assert sorted(tuple(r) for r in numbered.collect()) == list(enumerate(ids, 1))
+
+
+def test_a_run_shuffles_source_columns_of_one_slice_at_a_time(spark, folder, monkeypatch):
+    from tierwright.operators import keys
+    from tierwright.plans import quality_run as R
+
+    monkeypatch.setattr(keys, "BUCKET_SCALE", 5)
+    monkeypatch.setattr(R, "SLICE_ROWS", 90)
+    work, readable, _, placed = _run_of_odd_transactions(spark, folder)
+    written, real = [], R.write_table
+    monkeypatch.setattr(R, "write_table", lambda df, path, mode: written.append((plan_of(df), df.columns)) or real(df, path, mode))
+    # stored, so that nothing but the placing of rows is shuffled
+    rows = spark.read.parquet(write_table(placed, folder()))
+    work.resolved(readable, rows)
+    assert len(written) == 5
+    for plan, columns in written:
+        assert plan.count("Exchange ") == 1
+        below = plan[plan.index("Exchange ") :]
+        assert "sha2" not in below and "Window" not in below and "breach" not in below and "domain" not in below
+        assert "_source_row_hash" not in columns and "breaches" not in columns
+
+
+def test_slices_of_a_run_give_the_same_tables(spark, folder, monkeypatch, tmp_path):
+    import json
+
+    from test_layers import RUN, csv, transaction
+
+    from tierwright.functions.domains import PROVINCES
+    from tierwright.operators import keys
+    from tierwright.plans import contracts as C
+    from tierwright.plans import quality_run as R
+    from tierwright.plans.layers import Inputs
+    from tierwright.sinks.tables import LayerStore
+
+    customers = [[f"c{i}", "*1", "A", "B", "1984-09-02", "F", p, "LOW", "MASS", "5", "VERIFIED", "HL"] for i, p in enumerate(PROVINCES)]
+    accounts = [[f"a{i}", f"c{i}", "SAVINGS", "ACTIVE", "2019-10-30", "BASIC", "", "APP", "", "12.50", ""] for i in range(9)]
+    rows = [transaction(i, f"a{i % 9}") for i in range(60)] + [transaction(i, f"a{i % 9}") for i in range(0, 60, 7)]
+    rows += [transaction(70, "nobody"), transaction(71, None), transaction(3, "a3", terminal="x")]
+    rows += [transaction(72, "a1", transaction_id=None)] * 2
+    (tmp_path / "t.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows) + "{broken\n")
+    inputs = Inputs(
+        csv(tmp_path / "c.csv", C.CUSTOMER_COLUMNS, customers), csv(tmp_path / "a.csv", C.ACCOUNT_COLUMNS, accounts), str(tmp_path / "t.jsonl")
+    )
+    monkeypatch.setattr(keys, "BUCKET_SCALE", 5)
+    monkeypatch.setattr(R, "SLICE_ROWS", 30)
+    found = []
+    for hot in (False, True):
+        monkeypatch.setattr(R, "has_hot_key", lambda *_, hot=hot: hot)
+        root = folder()
+        R.run_with_rules(spark, inputs, root, RUN, batch_id="b", ingested_at=catalog.INGESTED_AT)
+        store = LayerStore(spark, root, "b")
+        tables = [store.path("quarantine", "transactions"), *[store.path(x, y) for x, y in (("typed", "transactions"), ("star", "fact_transactions"))]]
+        found.append([sorted(map(str, spark.read.parquet(t).collect())) for t in tables])
+        staged = glob.glob(f"{root}/staging/*/batch=*")
+        assert staged == []
+    assert found[0] == found[1] and [len(t) for t in found[0]][1:] == [60, 60]
+
+
+def test_a_table_of_several_frames_is_checked_as_one(spark, folder):
+    from tierwright.operators.contracts import ColumnRule, Contract, ContractError
+    from tierwright.sinks.tables import LayerStore
+
+    contract = Contract("t", (ColumnRule("k", "bigint", unique=True), ColumnRule("v", domain=("x",))))
+    store = LayerStore(spark, folder(), "b")
+    parts = [spark.range(a, b).selectExpr("id k", "'x' v") for a, b in ((1, 4), (9, 9), (4, 6))]
+    assert store.write(parts, "typed", "t", contract, dense="k").rows == 5
+    assert store.read("typed", "t").count() == 5
+    with pytest.raises(ContractError, match="dense"):
+        store.write([parts[0], parts[0]], "typed", "t", contract, guaranteed=["k"], dense="k")
+    with pytest.raises(ContractError, match="unique"):
+        store.write([parts[0], parts[0]], "typed", "t", contract)
+    with pytest.raises(ContractError, match="domain"):
+        store.write([parts[0], spark.range(7, 8).selectExpr("id k", "'y' v")], "typed", "t", contract)
